@@ -1,0 +1,11 @@
+"""All queries of the engine's own operators, with the SQL they are checked against."""
+
+from __future__ import annotations
+
+
+def queries() -> dict:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
