@@ -9,6 +9,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .htmltext import extract_pages
+
+    return extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .linedupe import dedup_lines
+
+    kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import digests, format_conversations
+
+    return digests(format_conversations(_table(spark, sf_dir, "conversations"))).drop("rewrites_at")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
@@ -23,4 +44,36 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-ORACLES: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The six ASCII white space characters, in DuckDB.
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLES: dict[str, str] = {
+    "op5_dedup_lines": f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents
+), keyed AS (
+  SELECT doc_id, n, line, translate(trim(line, {BLANKS}), '{UPPER}', '{LOWER}') AS k FROM lines
+), repeated AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, n, line, r.k IS NOT NULL AND doc_id <> r.keeper AS gone FROM keyed LEFT JOIN repeated r USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+    "op7_format_chats": """
+WITH turns AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, length(role) + length(text) + length('<turn >.</turn>.')
+    + length(role) + length(text) - length(translate(role, '\\<>', '')) - length(translate(text, '\\<>', '')) AS chars FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+}
