@@ -15,6 +15,17 @@ def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .toxicity import classify, train_chain
+
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    # the table labels one kind of toxicity; with the quality label it makes a chain of three categories
+    known = labels.withColumns({"junk": 1 - F.col("quality"), "toxic_prose": F.col("toxic") * F.col("quality")})
+    return classify(docs, train_chain(docs, known, ["junk", "toxic", "toxic_prose"])).drop("text")
+
+
 def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -24,12 +35,26 @@ def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import kept_by, ledger
+
+    rows = ledger(_table(spark, sf_dir, "documents"))
+    judged = rows.withColumns({"base_failed": ~kept_by("base"), "kept": kept_by("v1")})
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import digests, format_conversations
 
     return digests(format_conversations(_table(spark, sf_dir, "conversations"))).drop("rewrites_at")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import resample
+
+    return resample(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
@@ -49,6 +74,29 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES: dict[str, str] = {
+    "op6_quality_rules": f"""
+WITH worded AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents
+), grams AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM worded)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS pos FROM again) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM worded) WHERE length(trim(line, {BLANKS})) > 0 GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(w, x -> regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_shouted
+  FROM worded LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 5 * n_symbols > n_words OR 2 * n_shouted > n_words
+       OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines) OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM measured""",
     "op5_dedup_lines": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents

@@ -107,8 +107,9 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def words(t: Texts) -> Words:
-    solid = ~IS_SPACE[t.data]
+def words(t: Texts, apart: np.ndarray = IS_SPACE) -> Words:
+    """Runs of bytes that aren't `apart`; no word goes on into the next text."""
+    solid = ~apart[t.data]
     before = np.zeros(len(solid) + 1, bool)
     before[1:] = solid
     after = np.zeros(len(solid) + 1, bool)
