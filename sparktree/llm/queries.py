@@ -9,6 +9,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .htmltext import extract_pages
 
@@ -74,6 +80,21 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES: dict[str, str] = {
+    "op2_decontaminate": """
+WITH d AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\x0B\f\r]+') AS w FROM documents)
+), b AS (
+  SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\x0B\f\r]+') AS w FROM benchmark) WHERE len(w) >= 10
+), equal_words AS (
+  SELECT doc_id, item_id, d.pos - b.pos AS diagonal, b.pos AS pos FROM d JOIN b USING (word)
+), dense AS (
+  SELECT * FROM equal_words QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, diagonal) >= 10
+), counted AS (
+  SELECT doc_id, item_id, count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY pos RANGE BETWEEN 12 PRECEDING AND CURRENT ROW) AS n FROM dense
+)
+SELECT doc_id, item_id, CAST(max(n) AS BIGINT) AS matched FROM counted WHERE n >= 10 GROUP BY doc_id, item_id""",
     "op6_quality_rules": f"""
 WITH worded AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents
@@ -90,7 +111,7 @@ WITH worded AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-    len(list_filter(w, x -> regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_shouted
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_shouted
   FROM worded LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
