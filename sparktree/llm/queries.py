@@ -67,6 +67,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")).drop("text")
 
 
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), digests=True)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
