@@ -41,19 +41,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, few_seeds: int = FEW_SEE
     nulls there are ids too. Empty tables give no rows; other columns are ignored.
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("h")).filter(F.size("h") >= MATCHED)
-    ours = _seeds(items, "ipos").select("seed", "item_id", "ipos", F.col("h").alias("ih"))
+    ours = _seeds(items, "ipos").select("seed", "item_id", "ipos")
     n_items, n_words = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("h")), F.lit(0))).first()
-    tokens = docs.select("doc_id", word_hashes(F.col("text")).alias("h"))
-    if n_words * len(MASKS) <= few_seeds and n_items <= few_items:
-        hits = _seeds(tokens, "dpos").join(F.broadcast(ours), "seed").select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("diagonal"), "h", "ih")
-    else:
-        found = _seeds(tokens, "dpos").select("doc_id", "dpos", "seed").join(ours.drop("ih"), "seed").select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("diagonal")).distinct()
-        found = found.withColumnsRenamed({"doc_id": "d_", "item_id": "i_"})
-        hits = found.join(tokens, F.col("d_").eqNullSafe(F.col("doc_id"))).join(items.withColumnRenamed("h", "ih"), F.col("i_").eqNullSafe(F.col("item_id")))
-    equal = F.transform("ih", lambda x, i: (F.get(F.col("h"), F.col("diagonal") + i) == x).cast("int"))
-    rows = hits.select("doc_id", "item_id", F.transform(equal, lambda x: F.coalesce(x, F.lit(0))).alias("equal"))
-    best = F.array_max(F.transform("equal", lambda _, i: F.aggregate(F.slice(F.col("equal"), i + 1, STRETCH), F.lit(0), lambda a, x: a + x)))
-    return rows.select("doc_id", "item_id", best.cast("long").alias("matched")).filter(F.col("matched") >= MATCHED).groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+    ours = F.broadcast(ours) if n_words * len(MASKS) <= few_seeds else ours
+    words = items.select(F.col("item_id").alias("i_"), F.col("h").alias("ih"))
+    words = F.broadcast(words) if n_items <= few_items and n_words <= few_seeds else words
+    seeds = _seeds(docs.select("doc_id", word_hashes(F.col("text")).alias("h")), "dpos").select("doc_id", "dpos", "seed")
+    hits = seeds.join(ours, "seed").select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("diagonal")).distinct()
+    # to verify, texts with hits are cut into words again, each once: arrays of words never multiply by hits
+    asked = hits.join(words, F.col("item_id").eqNullSafe(F.col("i_"))).groupBy(F.col("doc_id").alias("d_")).agg(F.collect_list(F.struct("item_id", "diagonal", "ih")).alias("hits"))
+    found = docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("d_"))).select("doc_id", "hits", word_hashes(F.col("text")).alias("h"))
+    found = found.select("doc_id", F.explode(F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), _best(x, F.col("h")).cast("long").alias("matched")))).alias("f"))
+    return found.select("doc_id", "f.*").filter(F.col("matched") >= MATCHED).groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+
+
+def _best(hit: Column, h: Column) -> Column:
+    """The largest number of equal words in STRETCH successive positions of a hit's diagonal."""
+    equal = F.transform(hit["ih"], lambda w, i: F.coalesce((F.get(h, hit["diagonal"] + i) == w).cast("int"), F.lit(0)))
+    return F.aggregate(
+        equal,
+        F.struct(F.array_repeat(F.lit(0), STRETCH).alias("last"), F.lit(0).alias("sum"), F.lit(0).alias("best")),
+        lambda a, x: F.struct(F.concat(F.slice(a["last"], 2, STRETCH - 1), F.array(x)).alias("last"), (a["sum"] + x - a["last"][0]).alias("sum"), F.greatest(a["best"], a["sum"] + x - a["last"][0]).alias("best")),
+        lambda a: a["best"],
+    )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
