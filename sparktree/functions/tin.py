@@ -1,0 +1,190 @@
+"""Triangulated surfaces of one chunk in NumPy: Delaunay triangles, point location, interpolation."""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+def unique_places(x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One point a place, the highest."""
+    order = np.lexsort((-z, y, x))
+    x, y, z = x[order], y[order], z[order]
+    first = np.ones(len(x), bool)
+    first[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    return x[first], y[first], z[first]
+
+
+def _curve(x: np.ndarray, y: np.ndarray, levels: int = 8) -> np.ndarray:
+    """Positions along a snake of strips: successive points are near each other."""
+    n = 1 << levels // 2
+    span = lambda v: (v - v.min()) / max(np.ptp(v), 1e-12)
+    strip = np.minimum((span(x) * n).astype(int), n - 1)
+    along = np.where(strip % 2 == 0, y, -y)
+    return np.lexsort((along, strip))
+
+
+class Delaunay:
+    """Triangles of distinct points, by insertion: a walk finds the triangle, and those whose circle holds the point are replaced.
+
+    tri: vertices, counter-clockwise; near: the triangle across the edge opposite to each vertex, -1 outside.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        n = len(x)
+        self.x0, self.y0 = float(np.mean(x)), float(np.mean(y))
+        scale = max(float(np.ptp(x)), float(np.ptp(y)), 1e-9)
+        far = 1e4 * scale
+        px = np.append(x - self.x0, [-3 * far, 3 * far, 0.0]).tolist()
+        py = np.append(y - self.y0, [-3 * far, -3 * far, 3 * far]).tolist()
+        tri: list[list[int] | None] = [[n, n + 1, n + 2]]
+        near: list[list[int]] = [[-1, -1, -1]]
+        free: list[int] = []
+        last = 0
+        eps = 1e-12 * scale * scale
+        for p in _curve(np.asarray(x), np.asarray(y)).tolist() if n else []:
+            ax, ay = px[p], py[p]
+            t = last
+            for _ in range(4 * len(tri) + 50):
+                a, b, c = tri[t]
+                for k, (u, v) in enumerate(((b, c), (c, a), (a, b))):
+                    if (px[v] - px[u]) * (ay - py[u]) - (py[v] - py[u]) * (ax - px[u]) < -eps and near[t][k] >= 0:
+                        t = near[t][k]
+                        break
+                else:
+                    break
+            bad, stack, edge = {t}, [t], []
+            while stack:
+                s = stack.pop()
+                v = tri[s]
+                for k in range(3):
+                    o = near[s][k]
+                    if o in bad:
+                        continue
+                    if o >= 0:
+                        a, b, c = tri[o]
+                        dx, dy, ex, ey, fx, fy = px[a] - ax, py[a] - ay, px[b] - ax, py[b] - ay, px[c] - ax, py[c] - ay
+                        ap, bp, cp = dx * dx + dy * dy, ex * ex + ey * ey, fx * fx + fy * fy
+                        if dx * (ey * cp - bp * fy) - dy * (ex * cp - bp * fx) + ap * (ex * fy - ey * fx) > 0:
+                            bad.add(o)
+                            stack.append(o)
+                            continue
+                    edge.append((v[(k + 1) % 3], v[(k + 2) % 3], o))
+            # an edge between two bad triangles was noted if one of them was found later
+            edge = [(u, v, o) for u, v, o in edge if o not in bad]
+            starts = {}
+            made = []
+            for u, v, o in edge:
+                t = free.pop() if free else len(tri)
+                if t == len(tri):
+                    tri.append(None)
+                    near.append([-1, -1, -1])
+                made.append((t, u, v, o))
+                starts[u] = t
+            for s in bad:
+                tri[s] = None
+            for t, u, v, o in made:
+                tri[t] = [p, u, v]
+                near[t] = [o, starts[v], -1]
+                if o >= 0:
+                    w = tri[o]
+                    near[o][[k for k in range(3) if w[k] not in (u, v)][0]] = t
+            for t, u, v, o in made:
+                near[near[t][1]][2] = t
+            free += list(bad)
+            last = made[-1][0]
+        keep = [t for t, v in enumerate(tri) if v is not None]
+        index = np.full(len(tri) + 1, -1)
+        index[keep] = np.arange(len(keep))
+        self.tri = np.array([tri[t] for t in keep]).reshape(-1, 3)
+        self.near = index[np.array([near[t] for t in keep]).reshape(-1, 3)]
+        self.px, self.py, self.n = np.array(px), np.array(py), n
+        self.real = (self.tri < n).all(1)
+
+    def locate(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The triangle of each place: all walk at once, starting from the last place's neighbourhood."""
+        x, y = np.asarray(x) - self.x0, np.asarray(y) - self.y0
+        t = np.zeros(len(x), np.int64)
+        # seeds: the triangle of a vertex near the place, by coarse cells
+        if len(self.tri) > 64 and len(x):
+            k = max(1, int(np.sqrt(self.n / 4)))
+            cell = lambda u, v: np.clip(((u - lo[0]) / w[0] * k).astype(int), 0, k - 1) * k + np.clip(((v - lo[1]) / w[1] * k).astype(int), 0, k - 1)
+            lo = self.px[: self.n].min(), self.py[: self.n].min()
+            w = max(np.ptp(self.px[: self.n]), 1e-9), max(np.ptp(self.py[: self.n]), 1e-9)
+            real = np.flatnonzero(self.real)
+            if len(real):
+                seed = np.full(k * k, real[0])
+                v = self.tri[real, 0]
+                seed[cell(self.px[v], self.py[v])] = real
+                t = seed[cell(x, y)]
+        on = np.arange(len(x))
+        for _ in range(len(self.tri) + 10):
+            if not len(on):
+                break
+            v = self.tri[t[on]]
+            ux, uy = self.px[v], self.py[v]
+            side = np.stack([(ux[:, (k + 2) % 3] - ux[:, (k + 1) % 3]) * (y[on] - uy[:, (k + 1) % 3]) - (uy[:, (k + 2) % 3] - uy[:, (k + 1) % 3]) * (x[on] - ux[:, (k + 1) % 3]) for k in range(3)], 1)
+            side[self.near[t[on]] < 0] = 0
+            worst = side.argmin(1)
+            moves = side[np.arange(len(on)), worst] < -1e-9
+            t[on[moves]] = self.near[t[on[moves]], worst[moves]]
+            on = on[moves]
+        return t
+
+    def longest_edges(self) -> np.ndarray:
+        ux, uy = self.px[self.tri], self.py[self.tri]
+        return np.max([np.hypot(ux[:, k] - ux[:, k - 1], uy[:, k] - uy[:, k - 1]) for k in range(3)], axis=0)
+
+
+def interpolate(px, py, pz, x, y, max_edge: float = 0.0, k: int = 3, power: float = 1.0, furthest: float = 50.0, extrapolate: bool = True) -> np.ndarray:
+    """Heights at (x, y): linear in the triangle around; outside all, the mean of the k nearest by inverse distance, if
+    extrapolate, up to `furthest`; else NaN. With max_edge, triangles of a longer edge count as missing."""
+    px, py, pz = unique_places(np.asarray(px, float), np.asarray(py, float), np.asarray(pz, float))
+    x, y = np.asarray(x, float), np.asarray(y, float)
+    out = np.full(len(x), np.nan)
+    if not len(px) or not len(x):
+        return out
+    if len(px) >= 3:
+        d = Delaunay(px, py)
+        t = d.locate(x, y)
+        use = d.real & ((d.longest_edges() <= max_edge) if max_edge else True)
+        inside = use[t]
+        v = d.tri[t[inside]]
+        ax, ay = d.px[v], d.py[v]
+        qx, qy = x[inside] - d.x0, y[inside] - d.y0
+        area = (ax[:, 1] - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (ay[:, 1] - ay[:, 0])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            b = ((qx - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (qy - ay[:, 0])) / area
+            c = ((ax[:, 1] - ax[:, 0]) * (qy - ay[:, 0]) - (qx - ax[:, 0]) * (ay[:, 1] - ay[:, 0])) / area
+            z = pz[v]
+            out[inside] = z[:, 0] * (1 - b - c) + z[:, 1] * b + z[:, 2] * c
+    if extrapolate:
+        todo = np.flatnonzero(np.isnan(out))
+        for s in range(0, len(todo), 2048):
+            i = todo[s : s + 2048]
+            d2 = (x[i][:, None] - px) ** 2 + (y[i][:, None] - py) ** 2
+            m = min(k, len(px))
+            near = np.argpartition(d2, m - 1, axis=1)[:, :m]
+            dist = np.sqrt(np.take_along_axis(d2, near, 1))
+            w = np.where(dist <= furthest, 1 / np.maximum(dist, 1e-9) ** power, 0)
+            total = w.sum(1)
+            with np.errstate(invalid="ignore"):
+                out[i] = np.where(total > 0, (w * pz[near]).sum(1) / total, np.nan)
+    return out
+
+
+def hull_area(x, y) -> float:
+    """Area of the convex hull, 0 below three points that aren't on a line."""
+    p = sorted(set(zip(map(float, x), map(float, y))))
+    if len(p) < 3:
+        return 0.0
+
+    def half(points):
+        out = []
+        for q in points:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 0:
+                out.pop()
+            out.append(q)
+        return out[:-1]
+
+    h = half(p) + half(p[::-1])
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(h, h[1:] + h[:1]))) / 2
