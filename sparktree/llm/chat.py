@@ -70,7 +70,7 @@ def spans_by_prefixes(render: Callable[[list[Turn]], str], turns: list[Turn], st
     for first in range(0, len(turns), stretch):
         lead = 1 if first else 0  # the turn before stands in front, so that its rendering is the first prefix
         window = turns[first - lead : first + stretch]
-        before = render(window[:lead])
+        before = render(window[:lead]) if lead else ""  # what stands before all turns counts as the first one's
         for k in range(lead + 1, len(window) + 1):
             now = render(window[:k])
             if not now.startswith(before):

@@ -1,0 +1,93 @@
+import random
+import re
+
+import numpy as np
+
+from sparktree.llm.components import components
+from sparktree.llm.neardup import near_duplicates, signatures, without_near_duplicates
+from sparktree.llm.textkit import mix
+
+DOWN = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def brute(rows, least=0.8):
+    sets = []
+    for i, t in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(DOWN))
+        sets.append((i, {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()))
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, x) in enumerate(sets):
+        for j, y in sets[:k]:
+            if x and y and i is not None and j is not None and len(x & y) >= least * len(x | y) - 1e-12:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i, _ in rows}
+
+
+def ran(spark, rows):
+    d = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, class_id int, node int").repartition(4)
+    out = near_duplicates(d).collect()
+    got = {r["doc_id"]: r["class_id"] for r in out}
+    assert len(got) == len(out)
+    return got
+
+
+def test_probability_jaccard_of_weights():
+    rnd = np.random.default_rng(2)
+    element = mix(rnd.integers(1, 1 << 62, 200, dtype=np.uint64))
+    x, y = rnd.integers(1, 9, 200).astype(float), rnd.integers(1, 9, 200).astype(float)
+    s = signatures(np.repeat([0, 1], 200), np.concatenate([element, element]), np.concatenate([x, y]), 2, 8192)
+    exact = sum(1 / np.maximum(x / a, y / b).sum() for a, b in zip(x, y))
+    assert abs((s[0] == s[1]).mean() - exact) < 0.03
+
+
+def test_groups_against_brute_force(spark):
+    rnd = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(500)]
+    rows = []
+    for g in range(12):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice((6, 30, 120)))]
+        for _ in range(rnd.choice((1, 2, 9, 25))):
+            copy = list(base)
+            for _ in range(rnd.randint(0, max(1, len(base) // 25))):
+                copy[rnd.randrange(len(copy))] = rnd.choice(vocabulary)
+            rows.append((len(rows), rnd.choice((" ", "\n", " \t")).join(copy)))
+    got, want = ran(spark, rows), brute(rows)
+    assert got == want
+
+
+def test_a_large_group_whose_members_are_alike_to_one_only(spark):
+    """Copies with many edits: alike to the original, hardly to each other; and others just below the limit."""
+    rnd = random.Random(9)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(500, " ".join(base))]
+    for k in range(150):
+        copy = list(base)
+        for at in rnd.sample(range(200), 3 + k % 6):
+            copy[at] = f"e{k}.{at}"
+        rows.append((k, " ".join(copy)))
+    assert ran(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    t = " ".join(f"t{k}" for k in range(50))
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE  two"), (6, t), (7, t + " end"), (8, t), (8, t), (9, "the " * 4000), (10, "the " * 9000), (None, t)]
+    got = ran(spark, rows)
+    assert got[1] == 1 and got[2] == 2 and got[3] == 3 and got[5] == 4 and got[8] == got[7] == got[6] == 6 and got[10] == 9 and got[None] is None
+    assert ran(spark, []) == {}
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(str(r["doc_id"]) for r in without_near_duplicates(d).collect())
+    assert left == ["1", "2", "3", "4", "6", "9", "None"]
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    links = [(k, k + 1) for k in range(100, 160)] + [(5, rnd.randrange(6, 90)) for _ in range(40)] + [(3, 3)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[k] == 100 for k in range(100, 161)) and {got[b] for a, b in links if a == 5} == {5} and 3 not in got
