@@ -10,12 +10,12 @@ Texts of equal elements are one class from the start, found by a digest, so that
 others, candidates are verified by the Jaccard similarity of their elements, in rounds that never list a bucket's pairs:
 
 1. every text of a bucket against the bucket's hub, the text that has most bucket mates;
-2. buckets that then still hold several components, in blocks: for each text outside the largest component the few most
-   alike signatures of each other component;
-3. the same without the limit of few, for what is still apart.
+2. in buckets that then still hold several components, every text outside the largest one against all texts of other
+   components. A text of which fewer than 80 % of the elements occur in any other text of those buckets can be linked to
+   none and is left out first. Buckets are cut into pairs of blocks of bounded size; similarities are counted from
+   inverted lists in NumPy, and only links that join two components leave the task.
 
-After each round components are formed anew, so a large group of near copies, which the first round joins, costs a
-link or so a text, and no candidate that could join two components is left out.
+So a large group of near copies costs a link or so a text, and no candidate that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from . import textkit as T
 from .components import components
@@ -33,9 +33,7 @@ from .scratch import materialise
 WORDS = 5
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: Least share of equal registers of a pair that is verified: five standard deviations below 0.8.
-LIKELY = 0.62
-#: Members of a bucket that a task compares in one go.
+#: Texts of a bucket on either side of a comparison in one task.
 BLOCK = 1024
 
 
@@ -90,7 +88,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
 
 def _fingerprint(batches):
     for batch in batches:
-        out = {k: [] for k in ("n", "key", "bands", "bytes")}
+        out = {k: [] for k in ("n", "key", "bands")}
         for t in T.chunks(batch.column("text")):
             n = len(t.starts)
             doc, element, count = elements(t)
@@ -107,21 +105,16 @@ def _fingerprint(batches):
             out["n"].append(sizes)
             out["key"].append(key)
             out["bands"].append(band.view(np.int64))
-            out["bytes"].append((T.mix(labels) & np.uint64(255)).astype(np.uint8))
         if not out["n"]:
             continue
-        n = batch.num_rows
         key = np.concatenate(out["key"])
         bands = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(out["bands"]).ravel()), BANDS).cast(pa.list_(pa.int64()))
-        sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(REGISTERS), n, [None, pa.py_buffer(np.ascontiguousarray(np.concatenate(out["bytes"])).tobytes())]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.concatenate(out["n"])), pa.array(key[:, 0].copy().view(np.int64)), pa.array(key[:, 1].copy().view(np.int64)), bands, sig], names=["doc_id", "n", "key1", "key2", "bands", "signature"]
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(out["n"])), pa.array(key[:, 0].copy().view(np.int64)), pa.array(key[:, 1].copy().view(np.int64)), bands], names=["doc_id", "n", "key1", "key2", "bands"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n (distinct elements), key1 and key2 (a digest of the set), bands, signature (a byte a register)."""
-    schema = StructType([docs.schema["doc_id"], StructField("n", LongType()), StructField("key1", LongType()), StructField("key2", LongType()), StructField("bands", ArrayType(LongType())), StructField("signature", BinaryType())])
+    """doc_id, n (distinct elements), key1 and key2 (a digest of the set), bands."""
+    schema = StructType([docs.schema["doc_id"], StructField("n", LongType()), StructField("key1", LongType()), StructField("key2", LongType()), StructField("bands", ArrayType(LongType()))])
     return docs.select("doc_id", "text").mapInArrow(_fingerprint, schema)
 
 
@@ -153,75 +146,110 @@ def _verify(batches, least: float):
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Of pairs (a, b), those whose element sets have a Jaccard similarity of at least `least`."""
     one, two = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "ea", "eb")
+    both = pairs.select("a", "b").join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", "ea", "eb")
     return both.mapInArrow(lambda it: _verify(it, least), pairs.select("a", "b").schema)
 
 
-def _across(batches, few: int | None):
-    """Pairs of alike signatures of different components within each (bucket, block), from rows sorted by it."""
+def _joining(rows: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links between components of one pair of blocks: side 0 against side 1, or all against all (side 2)."""
+    side, nodes, roots = rows["side"].to_numpy(), rows["node"].to_numpy(), rows["root"].to_numpy()
+    data, offsets = T.views(rows["elements"])
+    data, offsets = np.frombuffer(data.tobytes(), np.uint64), offsets // 8
+    size = np.diff(offsets)
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    owner = np.repeat(np.arange(len(size)), size)
+    listed = side[owner] != 0
+    place = np.full(len(size), -1)
+    place[right] = np.arange(len(right))
+    order = np.argsort(data[listed], kind="stable")
+    sorted_, holder = data[listed][order], place[owner[listed][order]]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    step = max(1, 2_000_000 // max(1, len(sorted_)))  # texts whose shared elements fit in memory at once
+    for s in range(0, len(left), step):
+        part = left[s : s + step]
+        at = np.concatenate([np.arange(offsets[i], offsets[i + 1]) for i in part])
+        mine = np.repeat(np.arange(len(part)), size[part])
+        lo, hi = np.searchsorted(sorted_, data[at], "left"), np.searchsorted(sorted_, data[at], "right")
+        n = hi - lo
+        hits = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(np.repeat(mine, n) * len(right) + holder[hits], minlength=len(part) * len(right)).reshape(len(part), len(right))
+        either = size[part][:, None] + size[right][None, :] - common
+        good = (common >= least * either - 1e-9) & (roots[part][:, None] != roots[right][None, :])
+        for i, j in zip(*np.nonzero(good)):
+            a, b = find(int(roots[part[i]])), find(int(roots[right[j]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(nodes[part[i]]), int(nodes[right[j]])))
+    return out
+
+
+def _links_across(batches, least: float):
+    """The same for rows sorted by (bucket, task), of which a group may go on in the next batch."""
     held: list[pa.RecordBatch] = []
 
-    def pairs(rows: pa.Table):
-        nodes, roots = rows["node"].to_numpy(), rows["root"].to_numpy()
-        outside = rows["outside"].to_numpy(zero_copy_only=False)
-        first = bool(rows["block"][0].as_py() == 0)
-        data, offsets = T.views(rows["signature"].combine_chunks())
-        sig = data[: offsets[-1]].reshape(len(nodes), -1)
-        seen = []
-        for i in np.flatnonzero(outside):
-            other = roots != roots[i]
-            if not first:
-                other &= ~outside  # two texts outside meet in block 0 only
-            at = np.flatnonzero(other)
-            if not len(at):
-                continue
-            alike = (sig[at] == sig[i]).mean(1)
-            at, alike = at[alike >= LIKELY], alike[alike >= LIKELY]
-            if few is not None and len(at) > few:
-                order = np.lexsort((-alike, roots[at]))
-                at = at[order]
-                start = np.flatnonzero(np.append(True, roots[at][1:] != roots[at][:-1]))
-                rank = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
-                at = at[rank < few]
-            seen.append(np.stack([np.maximum(nodes[i], nodes[at]), np.minimum(nodes[i], nodes[at])], 1))
-        return np.unique(np.concatenate(seen), axis=0) if seen else np.zeros((0, 2), np.int64)
-
-    def flush(table: pa.Table):
-        n = table.num_rows
-        if not n:
-            return None
-        bucket, block = table["bucket"].to_numpy(), table["block"].to_numpy()
-        cut = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])))
-        found = [pairs(table.slice(s, e - s)) for s, e in zip(cut, np.append(cut[1:], n))]
-        found = np.concatenate(found)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    def links(table: pa.Table) -> pa.RecordBatch:
+        bucket, task = table["bucket"].to_numpy(), table["task"].to_numpy()
+        cut = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (task[1:] != task[:-1])))
+        found = [x for s, e in zip(cut, np.append(cut[1:], len(bucket))) for x in _joining(table.slice(s, e - s), least)]
+        return pa.RecordBatch.from_arrays([pa.array([max(x) for x in found], pa.int64()), pa.array([min(x) for x in found], pa.int64())], names=["a", "b"])
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
         table = pa.Table.from_batches(held)
-        bucket, block = table["bucket"].to_numpy(), table["block"].to_numpy()
-        last = np.flatnonzero((bucket != bucket[-1]) | (block != block[-1]))
-        whole = int(last[-1]) + 1 if len(last) else 0
-        if whole:
-            if (out := flush(table.slice(0, whole))) is not None:
-                yield out
+        bucket, task = table["bucket"].to_numpy(), table["task"].to_numpy()
+        other = np.flatnonzero((bucket != bucket[-1]) | (task != task[-1]))
+        if len(other):
+            whole = int(other[-1]) + 1
+            yield links(table.slice(0, whole))
             held = table.slice(whole).to_batches()
-    if held and (out := flush(pa.Table.from_batches(held))) is not None:
-        yield out
+    if held:
+        yield links(pa.Table.from_batches(held))
 
 
-def _candidates_across(buckets: DataFrame, roots: DataFrame, few: int | None) -> DataFrame:
-    """Pairs to verify between components that still share a bucket. buckets: bucket, node, signature."""
-    now = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links that join components which still share a bucket. buckets: bucket, node; sets: node, elements."""
+    now = buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     by = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = by.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"), F.max_by("root", F.struct("n", "root")).alias("largest")).filter("k > 1")
-    rows = now.join(mixed, "bucket").withColumn("outside", F.col("root") != F.col("largest"))
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    # a text outside the largest component goes to all blocks of its bucket, the others to one
-    dealt = rows.withColumn("block", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    dealt = dealt.select("bucket", "block", "node", "root", "outside", "signature").repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-    return dealt.mapInArrow(lambda it: _across(it, few), "a long, b long").distinct()
+    mixed = by.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"), F.max("n").alias("n_largest"), F.max_by("root", F.struct("n", "root")).alias("largest")).filter("k > 1")
+    rows = materialise(now.join(mixed, "bucket").withColumn("outside", F.col("root") != F.col("largest")), "mixed-buckets")
+    # an outside text needs 80 % of its elements in other texts to be like any of them
+    nodes = rows.groupBy("node").agg(F.max("outside").alias("outside"))
+    listed = nodes.join(sets.hint("merge"), "node").mapInArrow(_listed, "node long, outside boolean, size long, element long")
+    listed = materialise(listed, "mixed-elements")
+    repeated = listed.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("element")
+    able = listed.filter("outside").join(repeated.hint("merge"), "element").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).filter(F.col("n") >= least * F.col("size") - 1e-9).select("node", F.lit(True).alias("able"))
+    rows = rows.join(able, "node", "left").filter("able or not outside").withColumn("outside", F.col("outside") & F.col("able").isNotNull())
+    left = rows.groupBy("bucket").agg(F.count_if("outside").alias("n_out"), F.count_if(~F.col("outside")).alias("n_in")).filter("n_out > 0 and n_out + n_in > 1")
+    rows = rows.select("bucket", "node", "root", "outside").join(left, "bucket")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(BLOCK))).cast("int")
+    bo, bi = blocks("n_out"), blocks("n_in")
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("outside"), bo).otherwise(bi)).cast("int")
+    part = lambda kind, i, j, side: F.struct(F.concat_ws("-", F.lit(kind), i.cast("string"), j.cast("string")).alias("task"), side.cast("int").alias("side"))
+    among = F.transform(F.sequence(F.lit(0), bo - 1), lambda j: part("o", F.least(own, j), F.greatest(own, j), F.when(own == j, 2).when(own < j, 0).otherwise(1)))
+    against = F.when(F.col("n_in") > 0, F.transform(F.sequence(F.lit(0), bi - 1), lambda j: part("i", own, j, F.lit(0)))).otherwise(F.array().cast("array<struct<task:string,side:int>>"))
+    inside = F.transform(F.sequence(F.lit(0), bo - 1), lambda i: part("i", i, own, F.lit(1)))
+    dealt = rows.withColumn("t", F.explode(F.when(F.col("outside"), F.concat(among, against)).otherwise(inside))).select("bucket", F.xxhash64("t.task").alias("task"), "t.side", "node", "root")
+    full = dealt.join(sets.hint("merge"), "node").select("bucket", "task", "side", "node", "root", "elements")
+    full = full.repartition("bucket", "task").sortWithinPartitions("bucket", "task")
+    return full.mapInArrow(lambda it: _links_across(it, least), "a long, b long").distinct()
+
+
+def _listed(batches):
+    for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
+        data, offsets = T.views(batch.column("elements"))
+        size = np.diff(offsets) // 8
+        at = pa.array(np.repeat(np.arange(batch.num_rows), size))
+        yield pa.RecordBatch.from_arrays([batch.column("node").take(at), batch.column("outside").take(at), pa.array(np.repeat(size, size)), pa.array(np.frombuffer(data.tobytes(), np.int64))], names=["node", "outside", "size", "element"])
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -254,22 +282,16 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     tied = members.join(several, "doc_id", "left_semi")
     links = materialise(links.unionByName(tied.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))), "near-links")
     roots = materialise(components(links), "roots")
-    signed = buckets.select("bucket", "node").join(own.select(F.col("doc_id").alias("node"), "signature").dropDuplicates(["node"]), "node")
-    for few in (4, None):
-        more = materialise(_candidates_across(signed, roots, few), "candidates")
-        if more.isEmpty():
-            break
-        found = materialise(verified(more, sets, least), "near-links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = materialise(components(links), "roots")
+    more = materialise(_links_between(buckets.select("bucket", "node"), roots, sets, least), "near-links")
+    if not more.isEmpty():
+        roots = materialise(components(links.unionByName(more)), "roots")
     classes = members.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     alone = prints.filter("n = 0 or doc_id is null").select("doc_id").distinct().join(members.select(F.col("doc_id").alias("m_")).distinct(), F.col("doc_id") == F.col("m_"), "left_anti")
     return classes.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id")))
 
 
 def _sets_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    some = rows.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
+    some = rows.join(nodes.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
     return some.mapInArrow(_element_sets, "node long, elements binary").dropDuplicates(["node"])
 
 
