@@ -23,5 +23,6 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage is cut, and a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # a codec in Java: those in native code hold memory outside the heap for each of many small tasks
+    df.write.option("compression", "lz4_raw").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
