@@ -27,7 +27,7 @@ def apply_chunks(points: DataFrame, fn: Callable[[tuple[int, int], pd.DataFrame]
     A group is a chunk with its halo; its size is bounded by the chunk's area and the cloud's density.
     """
 
-    def run(key, held: pd.DataFrame) -> pd.DataFrame:
+    def run(key, held):
         if not held["is_core"].any():
             return pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
         return fn((int(key[0]), int(key[1])), held)
@@ -150,7 +150,7 @@ def chunk_products(points: DataFrame, cfg: PipelineConfig | None = None) -> Data
 def interpolated_ground(points: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """The points with ground, the height of the ground's triangulated surface, and height above it, from chunks with halo."""
 
-    def run(key, held: pd.DataFrame) -> pd.DataFrame:
+    def run(key, held):
         g = held[held["cls"] == 2]
         core = held[held["is_core"]]
         h = tin.interpolate(g["x"], g["y"], g["z"], core["x"], core["y"], k=cfg.idw_k, power=cfg.idw_power, furthest=cfg.idw_max)
@@ -166,7 +166,7 @@ def rasterized_crowns(chm: DataFrame, grid: GridSpec, cfg: PipelineConfig, size:
     halo = cfg.max_cr * grid.res + 2.7
     centres = chm.select("col", "row", "value", grid.centre_cm(F.col("col")).cast("bigint").alias("xi"), grid.centre_cm(F.col("row")).cast("bigint").alias("yi"))
 
-    def run(key, held: pd.DataFrame) -> pd.DataFrame:
+    def run(key, held):
         c0, r0 = held["col"].min(), held["row"].min()
         v = np.full((held["row"].max() - r0 + 1, held["col"].max() - c0 + 1), np.nan)
         v[held["row"] - r0, held["col"] - c0] = held["value"].to_numpy(float)

@@ -67,7 +67,7 @@ def time_in_daylight(dsm: DataFrame, grid: GridSpec, sun: DataFrame, az_fraction
     block = max(block, 2 * pad)
     reach = lambda v: F.sequence(F.floor((F.col(v) - pad) / F.lit(block)), F.floor((F.col(v) + pad) / F.lit(block)))
 
-    def lit_share(key, held: pd.DataFrame) -> pd.DataFrame:
+    def lit_share(key, held):
         c0, r0, side = int(key[0]) * block - pad, int(key[1]) * block - pad, block + 2 * pad
         z = np.full((side, side), np.nan)
         row, col = held["row"].to_numpy() - r0, held["col"].to_numpy() - c0

@@ -125,7 +125,7 @@ def focal_blocks(cells: DataFrame, grid: GridSpec, radius: float, block: int = 2
     reach = lambda v: F.sequence(F.floor((F.col(v) - r) / F.lit(block)), F.floor((F.col(v) + r) / F.lit(block)))
     chords = [(dr, int(math.sqrt(max(0.0, (radius / grid.res) ** 2 - dr * dr)) + 1e-9)) for dr in range(-r, r + 1)]
 
-    def sums(key, held: pd.DataFrame) -> pd.DataFrame:
+    def sums(key, held):
         bc, br = key
         c0, r0, side = int(bc) * block - r, int(br) * block - r, block + 2 * r
         values = np.zeros((side, side))

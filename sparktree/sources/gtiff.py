@@ -185,7 +185,7 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
 def encoded_tiles(cells: DataFrame, res: float, crs: int = 3005, compression: int = LZW) -> DataFrame:
     """name, content: a file for each product and chunk of cells(product, chunk_x, chunk_y, col, row, value), named by its corner."""
 
-    def run(key, held: pd.DataFrame) -> pd.DataFrame:
+    def run(key, held):
         c0, r1 = held["col"].min(), held["row"].max()
         grid = np.full((r1 - held["row"].min() + 1, held["col"].max() - c0 + 1), np.nan)
         grid[r1 - held["row"], held["col"] - c0] = held["value"]

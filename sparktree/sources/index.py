@@ -72,7 +72,7 @@ class _Reader(DataSourceReader):
         self.how = {k: v for k, v in options.items() if k in ("where", "envelope", "fields")}
 
     def partitions(self):
-        return [_Page(None)] if self.count is None else [_Page(k) for k in range(0, int(self.count), self.page)]
+        return [_Page(None)] if self.count is None else [_Page(k) for k in range(0, max(1, int(self.count)), self.page)]
 
     def read(self, partition):
         if partition.offset is None:

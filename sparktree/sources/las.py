@@ -67,7 +67,7 @@ def encode(cloud: pd.DataFrame, scale: float = 0.001) -> bytes:
     out = np.zeros((n, 28), np.uint8)
 
     def put(at: int, v, kind: str) -> None:
-        out[:, at : at + np.dtype(kind).itemsize] = np.ascontiguousarray(v, kind).view(np.uint8).reshape(n, -1)
+        out[:, at : at + np.dtype(kind).itemsize] = np.ascontiguousarray(v, kind).view(np.uint8).reshape(n, np.dtype(kind).itemsize)
 
     for k, (v, o) in enumerate(zip(xyz, shift)):
         put(4 * k, np.round((v - o) / scale).astype("<i4"), "<i4")

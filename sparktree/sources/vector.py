@@ -73,7 +73,8 @@ def read_gpkg(spark: SparkSession, path: str, schema: str) -> DataFrame:
     def run(frames):
         for held in frames:
             for data in held["content"]:
-                yield layer_points(bytes(data)).reindex(columns=names)
+                found = layer_points(bytes(data)).reindex(columns=names).astype(object)
+                yield found.where(found.notna(), None)
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").load(path).select("content").mapInPandas(run, schema)
 
