@@ -35,7 +35,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     # the table labels one kind of toxicity; with the quality label it makes a chain of three categories
     known = labels.withColumns({"junk": 1 - F.col("quality"), "toxic_prose": F.col("toxic") * F.col("quality")})
-    return classify(docs, train_chain(docs, known, ["junk", "toxic", "toxic_prose"])).drop("text")
+    judged = classify(docs, train_chain(docs, known, ["junk", "toxic", "toxic_prose"]))
+    return judged.select("doc_id", "p_junk", "p_toxic", "p_toxic_prose", F.col("is_toxic").alias("toxic"))
 
 
 def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
