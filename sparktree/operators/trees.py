@@ -58,12 +58,55 @@ def merged_by_name(layers: list[DataFrame], distinct_ids: bool = False) -> DataF
     return out.dropDuplicates(["tree_id"]) if distinct_ids else out
 
 
-def summary(rows: DataFrame, columns: list[str]) -> DataFrame:
+#: Up to so many rows the quantiles of a column are one aggregate, which keeps a count of each value in one task.
+FEW_VALUES = 2_000_000
+
+
+def order_statistics(rows: DataFrame, column: str, ranks: list[int], enough: int = 10_000) -> dict[int, float]:
+    """Exact values at 0-based ranks of a column's non-null values, without bringing them together.
+
+    Each pass counts a thousand bins of each rank's interval, in partial sums, and narrows to the bin that holds the
+    rank, until it has one value or few enough to be sorted.
+    """
+    v = rows.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    low, high, n = v.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    within = {k: (low, high, 0, n) for k in ranks}
+    out: dict[int, float] = {}
+    while open_ := {k: w for k, w in within.items() if k not in out}:
+        for k, (lo, hi, below, held) in list(open_.items()):
+            inside = v.filter((F.col("v") >= lo) & (F.col("v") <= hi))
+            if lo == hi or held <= enough:
+                out[k] = lo if lo == hi else inside.orderBy("v").offset(k - below).limit(1).first()[0]
+                continue
+            at = F.least(F.lit(999), F.floor((F.col("v") - lo) / ((hi - lo) / 1000)))
+            bins = inside.groupBy(at.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()
+            for b in bins:
+                if below + b["n"] > k:
+                    within[k] = (b["lo"], b["hi"], below, b["n"])
+                    break
+                below += b["n"]
+    return out
+
+
+def quantiles(rows: DataFrame, column: str, shares: tuple[float, ...]) -> list[float | None]:
+    """Exact quantiles that interpolate between neighbouring values."""
+    n = rows.filter(F.col(column).isNotNull()).count()
+    if not n:
+        return [None] * len(shares)
+    places = [(n - 1) * p for p in shares]
+    at = order_statistics(rows, column, sorted({int(x) + d for x in places for d in (0, 1) if int(x) + d < n}))
+    return [at[int(x)] + (x - int(x)) * (at.get(int(x) + 1, at[int(x)]) - at[int(x)]) for x in places]
+
+
+def summary(rows: DataFrame, columns: list[str], few: int = FEW_VALUES) -> DataFrame:
     """least, first quartile, median, mean, third quartile, greatest and the number of nulls of each column."""
-    parts = []
+    large, parts = rows.count() > few, []
     for c in columns:
         v = F.col(c).cast("double")
-        q = F.percentile(v, F.array(*(F.lit(p) for p in (0.25, 0.5, 0.75))))
+        if large:
+            q = [F.lit(x).cast("double") for x in quantiles(rows, c, (0.25, 0.5, 0.75))]
+        else:
+            q = F.percentile(v, F.array(*(F.lit(p) for p in (0.25, 0.5, 0.75))))
         parts.append(F.struct(F.lit(c).alias("name"), F.min(v).alias("least"), q[0].alias("q1"), q[1].alias("median"), F.avg(v).alias("mean"), q[2].alias("q3"), F.max(v).alias("greatest"), F.count_if(v.isNull()).alias("n_null")))
     return rows.agg(F.array(*parts).alias("p")).select(F.inline("p"))
 

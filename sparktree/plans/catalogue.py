@@ -209,6 +209,31 @@ def index_request_text(spark, d):
     return o.select("o_orderkey", F.concat(F.lit("093h"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")).alias("tile"), S.envelope_json(a, b, a + 1, b + 1).alias("envelope"))
 
 
+@query(f"{WITH_TILES}, r AS ({_RESULTS}) SELECT file, status FROM r WHERE NOT success")
+def failed_downloads(spark, d):
+    return _results(spark, d).filter(~F.col("success")).select("file", "status")
+
+
+@query(f"{WITH_TILES} SELECT concat('/lidar/', CAST(tile_row % 2 AS VARCHAR), '/', filename) AS file FROM tiles ORDER BY 1 LIMIT 1")
+def first_file(spark, d):
+    return V.files(spark, d).select("file").orderBy("file").limit(1)
+
+
+@query(f"{WITH_TILES} SELECT tile_row, maptile FROM tiles ORDER BY tile_row LIMIT 200 OFFSET 400")
+def index_page_offset(spark, d):
+    return V.tiles(spark, d).select("tile_row", "maptile").orderBy("tile_row").offset(400).limit(200)
+
+
+@query(f"{WITH_TILES} SELECT maptile, year, tile_row FROM (SELECT *, row_number() OVER (ORDER BY maptile, year DESC, tile_row) AS k FROM tiles) t WHERE k <= 100")
+def tile_sort_head(spark, d):
+    return V.tiles(spark, d).orderBy(F.asc("maptile"), F.desc("year"), "tile_row").limit(100).select("maptile", "year", "tile_row")
+
+
+@query(f"{WITH_TREES} SELECT tree_id, z, CAST(NULL AS DOUBLE) AS dtm_z, CAST(NULL AS DOUBLE) AS slope_deg FROM trees")
+def trees_without_terrain(spark, d):
+    return V.trees(spark, d).select("tree_id", "z", *(F.lit(None).cast("double").alias(c) for c in ("dtm_z", "slope_deg")))
+
+
 # --- chunks ------------------------------------------------------------------------------------------------------
 
 

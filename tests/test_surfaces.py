@@ -136,7 +136,7 @@ def test_daylight(spark):
     assert got[5, 4] < got[3, 4] and got[4, 4] == 1.0 and len(got) == 81
 
 
-def cloud(spark, trees=((30.0, 40.0, 12.0), (71.0, 66.0, 15.0), (99.9, 100.2, 14.0)), side=200.0, step=1.0, seed=0):
+def cloud(spark, trees=((30.0, 40.0, 12.0), (71.0, 66.0, 15.0), (99.9, 100.2, 14.0)), side=112.0, step=1.5, seed=0):
     """A flat ground of 100 m with conical trees."""
     rng = np.random.default_rng(seed)
     g = np.arange(0.5, side, step)
@@ -199,3 +199,14 @@ def test_sample_pipeline_and_scene(spark):
     with pytest.raises(pipeline.PipelineError):
         pipeline.scene_daylight(dsm.limit(0), GridSpec(1.0), cfg)
     assert len(pipeline.statistics(trees, 20)) == 9
+
+
+def test_quantiles_without_one_task(spark):
+    rng = np.random.default_rng(4)
+    v = np.round(rng.random(4000) ** 3 * 500, 1)
+    rows = spark.createDataFrame(pd.DataFrame({"v": np.append(v, [np.nan] * 5)})).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
+    assert T.quantiles(rows, "v", (0.0, 0.25, 0.5, 0.75, 1.0)) == pytest.approx(np.quantile(v, [0, 0.25, 0.5, 0.75, 1]).tolist())
+    at = T.order_statistics(rows, "v", [0, 17, 2000, 3999], enough=20)
+    assert at == {k: np.sort(v)[k] for k in (0, 17, 2000, 3999)}
+    assert T.summary(rows, ["v"], few=0).collect()[0][1:7] == pytest.approx(T.summary(rows, ["v"]).collect()[0][1:7])
+    assert T.quantiles(rows.limit(0), "v", (0.5,)) == [None]
