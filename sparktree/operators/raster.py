@@ -23,6 +23,12 @@ def rasterized(points: DataFrame, grid: GridSpec, value: str = "z", how: str = "
     return with_cells(points, grid).groupBy(*CELL).agg(getattr(F, how)(value).alias("value"))
 
 
+def surfaces(points: DataFrame, grid: GridSpec) -> DataFrame:
+    """col, row, dsm (greatest height) and ground (least height of ground points, null without any), in one pass."""
+    low = F.min(F.when(F.col("cls") == 2, F.col("z")))
+    return with_cells(points, grid).groupBy(*CELL).agg(F.max("z").alias("dsm"), low.alias("ground"))
+
+
 def sampled(points: DataFrame, raster: DataFrame, grid: GridSpec, name: str) -> DataFrame:
     """The value of the cell that each point is in; null where the raster has none."""
     return with_cells(points, grid).join(raster.select(*CELL, F.col("value").alias(name)), CELL, "left").drop(*CELL)

@@ -609,10 +609,9 @@ b AS (SELECT {_cell(1000)}, min(z) AS value FROM one WHERE cls = 2 GROUP BY 1, 2
 v AS (SELECT b.value AS x, a.value - b.value AS y FROM a JOIN b USING (col, row) WHERE a.value - b.value >= 0), box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM v)
 SELECT CAST(least(floor((x - x0) / ((x1 - x0) / 40)), 39) AS BIGINT) AS bx, CAST(least(floor((y - y0) / ((y1 - y0) / 40)), 39) AS BIGINT) AS by, count(*) AS count, round(log10(count(*)), 6) AS log_count FROM v, box GROUP BY 1, 2""")
 def chm_ground_heatmap(spark, d):
-    p = P.deduplicated(V.points(spark, d))
-    dtm = _dtm(p)
-    both = R.difference(_dsm(p), dtm, drop_negative=True).withColumnRenamed("value", "chm").join(dtm.withColumnRenamed("value", "ground"), ["col", "row"])
-    return rounded(T.bin2d(both, "ground", "chm", 40), "log_count")
+    cells = R.surfaces(P.deduplicated(V.points(spark, d)), G10)
+    chm = cells.select("ground", (F.col("dsm") - F.col("ground")).alias("chm")).filter("chm >= 0")
+    return rounded(T.bin2d(chm, "ground", "chm", 40), "log_count")
 
 
 #: A lattice that suits the stand-in cloud, whose points are some 1.6 m apart at the largest scale.
