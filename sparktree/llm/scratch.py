@@ -20,9 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage is cut, and a lost executor loses nothing."""
+def materialise(df: DataFrame, name: str, codec: str = "uncompressed") -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: lineage is cut, and a lost executor loses nothing.
+
+    Most such tables are hashes and numbers, which compress little, and codecs in native code hold memory outside the
+    heap for each of many small tasks; give a codec for tables of text.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    # a codec in Java: those in native code hold memory outside the heap for each of many small tasks
-    df.write.option("compression", "lz4_raw").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
