@@ -264,17 +264,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     prints = materialise(fingerprints(rows), "fingerprints")
     full = prints.filter("n > 0 and doc_id is not null")
     # texts of equal elements are one node, named by its least doc_id
-    distinct = full.groupBy("key1", "key2").agg(F.min("doc_id").alias("node"))
+    # (aggregates are written before they are joined: only then can Spark split the side of a key with very many rows)
+    distinct = materialise(full.groupBy("key1", "key2").agg(F.min("doc_id").alias("node")), "distinct-texts")
     members = materialise(full.select("doc_id", "key1", "key2").join(distinct, ["key1", "key2"]).select("doc_id", "node").distinct(), "members")
     # the node's row: copies have the same bands
     own = full.join(distinct.select(F.col("node").alias("doc_id"), "key1", "key2"), ["doc_id", "key1", "key2"], "left_semi")
     bands = own.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialise(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared-buckets")
     buckets = materialise(bands.join(shared, "bucket").select("bucket", "node", "size"), "buckets")
     weight = buckets.groupBy("node").agg(F.sum("size").alias("mates"))
     sets = materialise(_sets_of(rows, weight.select("node")), "elements")
     ranked = buckets.join(weight, "node")
-    hub = ranked.groupBy("bucket").agg(F.min_by("node", F.struct(-F.col("mates"), "node")).alias("hub"))
+    hub = materialise(ranked.groupBy("bucket").agg(F.min_by("node", F.struct(-F.col("mates"), "node")).alias("hub")), "hubs")
     pairs = buckets.join(hub, "bucket").filter("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     links = verified(pairs, sets, least)
     # a doc_id with several texts ties their nodes together
