@@ -366,6 +366,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     within = found.filter("least is null").select("doc_id", "text_hash", "first", "last")
     cut = found.filter("least is not null")
     shared = cut.groupBy("least").agg(F.count(F.lit(1)).alias("n_"), (F.min("digest") != F.max("digest")).alias("mixed")).filter("n_ > 1").select("least", "mixed")
+    # a table of its own, so that Spark can split the side of a string that occurs very often
+    shared = materialise(shared, "shared-minima")
     cut = materialise(cut.join(shared, "least"), "shared-stretches")
     whole = cut.groupBy("least", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("mixed").alias("mixed"), F.min(F.struct("doc_id", "text_hash", "first", "last")).alias("one"))
     whole = materialise(whole, "different-stretches")
