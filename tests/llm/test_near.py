@@ -75,6 +75,24 @@ def test_a_large_group_whose_members_are_alike_to_one_only(spark):
     assert ran(spark, rows) == brute(rows)
 
 
+def test_buckets_in_small_blocks(spark, monkeypatch):
+    """Chains of texts, each alike to the next only, in buckets that are cut into many pairs of blocks."""
+    from sparktree.llm import neardup
+
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(5):
+        now = [f"c{rnd.randrange(400)}" for _ in range(150)]
+        for _ in range(20):
+            now = list(now)
+            now[rnd.randrange(150)] = f"n{rnd.randrange(10**6)}"
+            now[rnd.randrange(150)] = f"n{rnd.randrange(10**6)}"
+            rows.append((rnd.randrange(10**9), " ".join(now)))
+    rnd.shuffle(rows)
+    assert ran(spark, rows) == brute(rows)
+
+
 def test_odd_rows(spark):
     t = " ".join(f"t{k}" for k in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE  two"), (6, t), (7, t + " end"), (8, t), (8, t), (9, "the " * 4000), (10, "the " * 9000), (None, t)]
