@@ -19,8 +19,9 @@ from ..functions.scalar import lit
 
 
 def minutes(clock: str) -> int:
-    h, m, s = (int(v) for v in clock.split(":"))
-    return h * 60 + m + (s >= 30)
+    """Whole minutes since midnight: 23:59:59 is still that day's last minute."""
+    h, m, _ = (int(v) for v in clock.split(":"))
+    return h * 60 + m
 
 
 def sun_table(spark: SparkSession, lat: float, lon: float, utc_offset: float = -8.0, start_day: int = 1, end_day: int = 365, start_time: str = "00:00:00", end_time: str = "23:59:59", step: int = 30) -> DataFrame:

@@ -684,7 +684,15 @@ def crown_hull_area(spark, d):
     return _labelled(spark, d).select("tree_id", "x", "y").groupBy("tree_id").applyInPandas(hull, "tree_id bigint, convhull_area double")
 
 
-@query()
+SUN = """WITH t AS (SELECT day, minute, 2 * pi() / 365 * (day - 1 + (CAST(minute AS DOUBLE) / 60 - 12) / 24) AS g FROM (SELECT unnest(range(1, 366)) AS day) a, (SELECT CAST(unnest(range(0, 1440, 60)) AS INT) AS minute) b),
+e AS (SELECT *, 229.18 * (0.000075 + 0.001868 * cos(g) - 0.032077 * sin(g) - 0.014615 * cos(2 * g) - 0.040849 * sin(2 * g)) AS equation,
+  0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g) - 0.002697 * cos(3 * g) + 0.00148 * sin(3 * g) AS decl, radians(CAST(54 AS DOUBLE)) AS f FROM t),
+h AS (SELECT *, radians((minute + equation + 4 * -122 - 60 * -8) / 4 - 180) AS hour FROM e)
+SELECT day, minute, round(degrees(asin(sin(f) * sin(decl) + cos(f) * cos(decl) * cos(hour))), 6) AS altitude,
+  round((degrees(atan2(sin(hour), cos(hour) * sin(f) - tan(decl) * cos(f))) + 180 + 360) % 360, 6) AS azimuth FROM h"""
+
+
+@query(SUN)
 def sun_positions(spark, d):
     return rounded(sun_table(spark, 54.0, -122.0, step=60), "altitude", "azimuth")
 
