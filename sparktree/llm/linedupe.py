@@ -111,7 +111,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(keys.filter(F.col("batch") == b).select("doc_id", "h"), id_type)
-    repeated = runs.repeated(min_docs).select("h", "last_doc")
+    # a table of its own: where one line stands in very many documents, Spark can split its side of the join
+    repeated = materialise(runs.repeated(min_docs).select("h", "last_doc"), "repeated-lines")
     lost = keys.select("doc_id", "h").join(repeated, "h").filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     drop = lost.groupBy(F.col("doc_id").alias("drop_id_")).agg(F.collect_set("h").alias("drop_"))
     passed = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
