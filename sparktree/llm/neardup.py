@@ -6,6 +6,10 @@ registers are hashes of the element alone. A register keeps the element that arr
 with the probability Jaccard similarity of their weights. An element is left as soon as its next arrival comes after
 all registers' times. Registers are hashed in bands; texts that share a band are candidates.
 
+A link is a Jaccard similarity of sets, of which that of weights can fall far short where texts repeat an element
+unequally often. So a text that repeats any element has a second signature with all weights 1, whose registers agree with
+the probability of the set similarity, and sends the bands of both. Without repeats the two signatures are the same.
+
 Texts of equal elements are one class from the start, found by a digest, so that copies cost one row each. Of the
 others, candidates are verified by the Jaccard similarity of their elements, in rounds that never list a bucket's pairs:
 
@@ -86,29 +90,47 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
     return labels.reshape(n, registers)
 
 
+def _bands(labels: np.ndarray) -> np.ndarray:
+    band = np.zeros((len(labels), BANDS), np.uint64)
+    for r in range(ROWS):
+        band = band * np.uint64(T.BASE) + labels[:, r::ROWS]
+    return T.mix(band + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+
+
+def bands_of(doc: np.ndarray, element: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bands by text, and how many each text has: those of its weights, and those of its set where they differ."""
+    weighted = _bands(signatures(doc, element, count, n))
+    repeats = np.zeros(n, bool)
+    repeats[doc[count > 1]] = True
+    place, on = np.cumsum(repeats) - 1, repeats[doc]
+    plain = weighted.copy()
+    plain[repeats] = _bands(signatures(place[doc[on]], element[on], np.ones(on.sum()), int(repeats.sum())))
+    both = np.concatenate([weighted, plain], 1)
+    sent = np.concatenate([np.ones((n, BANDS), bool), plain != weighted], 1)
+    return both[sent], sent.sum(1)
+
+
 def _fingerprint(batches):
     for batch in batches:
-        out = {k: [] for k in ("n", "key", "bands")}
+        out = {k: [] for k in ("n", "key", "bands", "n_bands")}
         for t in T.chunks(batch.column("text")):
             n = len(t.starts)
             doc, element, count = elements(t)
             sizes = np.bincount(doc, minlength=n)
-            labels = signatures(doc, element, count, n)
             mixed = T.mix(element)
             first = np.concatenate([[0], np.cumsum(sizes)])
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(v)]) for v in (mixed, T.mix(mixed + np.uint64(1)))]
             key = np.stack([s[first[1:]] - s[first[:-1]] for s in sums], 1)
-            band = np.zeros((n, BANDS), np.uint64)
-            for r in range(ROWS):
-                band = band * np.uint64(T.BASE) + labels[:, r::ROWS]
-            band = T.mix(band + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+            band, n_bands = bands_of(doc, element, count, n)
             out["n"].append(sizes)
             out["key"].append(key)
             out["bands"].append(band.view(np.int64))
+            out["n_bands"].append(n_bands)
         if not out["n"]:
             continue
         key = np.concatenate(out["key"])
-        bands = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(out["bands"]).ravel()), BANDS).cast(pa.list_(pa.int64()))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(out["n_bands"]))]).astype(np.int32)
+        bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out["bands"])))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(out["n"])), pa.array(key[:, 0].copy().view(np.int64)), pa.array(key[:, 1].copy().view(np.int64)), bands], names=["doc_id", "n", "key1", "key2", "bands"])
 
 

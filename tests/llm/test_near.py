@@ -93,6 +93,17 @@ def test_buckets_in_small_blocks(spark, monkeypatch):
     assert ran(spark, rows) == brute(rows)
 
 
+def test_texts_that_repeat_a_line_unequally_often(spark):
+    """Sets of windows that are 96 to 98 % alike, of which the weights are less than 50 % alike."""
+    rows = []
+    for k in range(60):
+        n, times = ((500, 50), (200, 20))[k % 2]
+        words = [f"r{k}.{at}" for at in range(n)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + words[40:52] * times))]
+    got = ran(spark, rows)
+    assert got == brute(rows) and all(got[2 * k + 1] == 2 * k for k in range(60))
+
+
 def test_odd_rows(spark):
     t = " ".join(f"t{k}" for k in range(50))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE  two"), (6, t), (7, t + " end"), (8, t), (8, t), (9, "the " * 4000), (10, "the " * 9000), (None, t)]
