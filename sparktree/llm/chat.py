@@ -7,6 +7,8 @@ but its outputs, and where the assistant's text stands in a span is found by the
 
 A long conversation is rendered in stretches of `stretch` turns, each overlapping the last turn before it, so that work
 is linear in its length. The span of a turn after a stretch's start is what it adds to the output for the turn before.
+The whole conversation is then rendered once: if the stretches fail, rewrite anything or don't add up to that output, the
+template looks further back than a stretch, and the conversation's true prefixes are rendered instead, at quadratic cost.
 """
 
 from __future__ import annotations
@@ -64,9 +66,8 @@ class Formatted:
     rewrites: int | None  # the first turn whose rendering changed what stood before
 
 
-def spans_by_prefixes(render: Callable[[list[Turn]], str], turns: list[Turn], stretch: int = 64) -> Formatted:
-    """Renders successive prefixes and locates each turn's span in the whole output."""
-    parts, spans, at, rewrites = [], [], 0, None
+def _in_stretches(render: Callable[[list[Turn]], str], turns: list[Turn], stretch: int) -> Formatted:
+    parts, spans, at = [], [], 0
     for first in range(0, len(turns), stretch):
         lead = 1 if first else 0  # the turn before stands in front, so that its rendering is the first prefix
         window = turns[first - lead : first + stretch]
@@ -74,17 +75,28 @@ def spans_by_prefixes(render: Callable[[list[Turn]], str], turns: list[Turn], st
         for k in range(lead + 1, len(window) + 1):
             now = render(window[:k])
             if not now.startswith(before):
-                rewrites = first - lead + k - 1
-                break
+                return Formatted("", [], first - lead + k - 1)
             parts.append(now[len(before) :])
             spans.append((at, at + len(parts[-1])))
             at += len(parts[-1])
             before = now
-        if rewrites is not None:
-            return Formatted(render(turns), [], rewrites)
     return Formatted("".join(parts), spans, None)
 
 
+def spans_by_prefixes(render: Callable[[list[Turn]], str], turns: list[Turn], stretch: int = 64) -> Formatted:
+    """Renders successive prefixes and locates each turn's span in the whole output, which is always render(turns)."""
+    whole = render(turns) if turns else ""
+    if len(turns) > stretch:
+        try:
+            f = _in_stretches(render, turns, stretch)
+            if f.rewrites is None and f.output == whole:
+                return f
+        except Exception:  # a template may refuse a window that it would take as part of the conversation
+            pass
+    f = _in_stretches(render, turns, max(1, len(turns)))
+    return f if f.rewrites is None else Formatted(whole, [], f.rewrites)
+
+
 def format_conversation(turns: list[Turn], template=None, stretch: int = 64) -> tuple[str, list[tuple[int, int]], int | None]:
     """The output, the spans under the loss mask (assistants' texts) and the first turn that rewrote history, if any."""
     template = template or Template()

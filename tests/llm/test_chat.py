@@ -26,6 +26,25 @@ def test_templates_that_rewrite_history_are_told():
     assert spans_by_prefixes(counts, turns).rewrites == 1 and spans_by_prefixes(counts, turns).spans == []
 
 
+def test_templates_that_look_further_back_than_a_stretch():
+    turns = [("assistant" if k % 2 else "user", f"t{k}") for k in range(150)]
+    numbers = lambda turns: "".join(f"[{k // 2}] {r}: {t}\n" for k, (r, t) in enumerate(turns))
+    f = spans_by_prefixes(numbers, turns)
+    assert f.rewrites is None and f.output == numbers(turns)
+    assert [f.output[a:b] for a, b in f.spans] == [f"[{k // 2}] {r}: {t}\n" for k, (r, t) in enumerate(turns)]
+    truncates = lambda turns: "".join(f"{r}: {t}\n" for r, t in turns[-100:])
+    f = spans_by_prefixes(truncates, turns)
+    assert f.rewrites == 100 and f.spans == [] and f.output == truncates(turns)
+
+    def user_first(turns):
+        if turns and turns[0][0] != "user":
+            raise ValueError("a conversation starts with its user")
+        return "".join(f"{r}: {t}\n" for r, t in turns)
+
+    f = spans_by_prefixes(user_first, turns)
+    assert f.rewrites is None and f.output == user_first(turns) and len(f.spans) == 150
+
+
 def digest(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     h = lambda s: sha256(s.encode()).hexdigest()
