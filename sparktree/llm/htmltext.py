@@ -18,13 +18,18 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .scratch import materialise
 
+#: Raw text goes on to its end tag or the page's end. The other elements without text of their own are left out where
+#: their end tag follows; a head needs no rule, for what may stand in it has no text, and anything else ends it.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|math|object|canvas|title|head)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title|iframe)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(noscript|template|svg|select|math|object|canvas)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>(?:(?!<body\b).)*?</\2\s*>"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+#: Its groups: the slash of an end tag, the tag and its attributes.
+END, TAG, REST = 3, 4, 5
 ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 #: Elements that can hold the article, elements that only end a block, and elements without content.
 CONTAINERS = frozenset("html body main article section div td center dd figure blockquote details".split())
@@ -101,26 +106,26 @@ def blocks(html: str) -> list[Block]:
             if link:
                 linked += m.start() - at
         at = m.end()
-        tag = m[3]
+        tag = m[TAG]
         if tag is None:
             continue
         tag = tag.lower()
         if tag == "a":
-            link = not m[2]
+            link = not m[END]
         if tag == "br":
             pieces.append(" ")
         if tag not in BLOCKS:
             # an inline element with a telling class can hide text too
-            if not m[2] and tag not in VOID and m[4] and ("class" in m[4] or "hidden" in m[4] or "style" in m[4]) and not m[4].endswith("/"):
-                attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[4])}
+            if not m[END] and tag not in VOID and m[REST] and ("class" in m[REST] or "hidden" in m[REST] or "style" in m[REST]) and not m[REST].endswith("/"):
+                attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[REST])}
                 if tag in ("span", "a", "ins", "label") and _skips(tag, attributes, articles > 0):
                     stack.append(Element(tag, None, 0, True))
                     skipping += 1
-            elif m[2] and skipping and stack and stack[-1].tag == tag:
+            elif m[END] and skipping and stack and stack[-1].tag == tag:
                 close()
             continue
         flush()
-        if m[2]:
+        if m[END]:
             if any(e.tag == tag for e in stack):
                 while stack[-1].tag != tag:
                     close()
@@ -130,7 +135,7 @@ def blocks(html: str) -> list[Block]:
             continue
         while stack and (stack[-1].tag == "p" or stack[-1].tag in IMPLIED.get(tag, ())):
             close()
-        attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[4])} if m[4] else {}
+        attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[REST])} if m[REST] else {}
         skipped = _skips(tag, attributes, articles > 0)
         path = None
         if tag in CONTAINERS:

@@ -29,6 +29,14 @@ def test_odd_html():
     assert own("<!-- open comment <p>x</p>") == ""
 
 
+def test_end_tags_that_are_left_out():
+    assert own("<html><head><title>x</title><body><article><p>text of it</article>") == "text of it"
+    assert own("<html><head><meta charset=utf-8><title>x</title><style>p{}</style><script>'<p>no'</script><article><p>text of it</article>") == "text of it"
+    assert own("<head><title>x</title></head><body><article><p>a<svg><p>text of it</article>") == "a\ntext of it"
+    assert own("<head><noscript><body><article><p>text</p><noscript>no</noscript></article>") == "text"
+    assert own("<article><p>a<svg><text>no</text></svg>b<script>never ends <p>c</article>") == "ab"
+
+
 def test_the_hosts_vote_decides(spark):
     page = lambda body, box: f"<html><body><div class='box{box}'><p>{box}</p></div><div class=story-{box}><p>{body}</p></div></body></html>"
     boxed = "<html><body><div class='frame'><p>" + "a long frame that isn't part of the story at all " * 3 + "</p></div><div class='story-9'><p>tiny</p></div></body></html>"
