@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
-Each page scores its containers and votes for the deepest one that holds most of its running text; a container is named
-by its generalised path of tags and classes (digits out). Votes are summed per host, and each page of the host is then
+Each page scores its containers, takes the deepest one that holds most of its running text, climbs from there to the one
+that holds the whole article, and votes for it; a container is named by its generalised path of tags and classes (digits
+out). Votes are summed per host, and each page of the host is then
 re-extracted from the winning path. A page without it, or without a host, falls back on its own best container.
 """
 
@@ -34,6 +35,10 @@ ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 #: Elements that can hold the article, elements that only end a block, and elements without content.
 CONTAINERS = frozenset("html body main article section div td center dd figure blockquote details".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt table thead tbody tfoot tr th caption pre hr address fieldset legend figcaption summary header footer nav aside form menu dialog button".split())
+#: Parts of an article, never a whole one.
+PARTS = frozenset("blockquote figure dd details".split())
+#: Code points from which a block outside links is running text; shorter ones are labels.
+RUNNING = 40
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 #: Never part of an article, by element, by role, and by a word of the class or id.
 NOT_TEXT = frozenset("nav footer aside form menu dialog button fieldset".split())
@@ -58,6 +63,7 @@ class Block(NamedTuple):
     text: str
     linked: int  # its code points within links
     within: tuple[tuple[int, str], ...]  # the containers around it, outermost first
+    tag: str  # of the innermost element around it
 
 
 def _named(tag: str, attributes: dict[str, str]) -> str:
@@ -88,7 +94,7 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         if pieces:
             if text := " ".join(entities.unescape("".join(pieces)).split()):
-                out.append(Block(text, linked, tuple(around)))
+                out.append(Block(text, linked, tuple(around), stack[-1].tag if stack else ""))
             pieces.clear()
             linked = 0
 
@@ -151,8 +157,40 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _tag(path: str) -> str:
+    return path.rsplit(">", 1)[-1].split(".", 1)[0]
+
+
+def _whole(page: list[Block], chain: tuple[tuple[int, str], ...], held: dict[tuple[int, str], int]) -> tuple[int, str]:
+    """Of a container and those around it (chain, outermost first), the least that holds the whole article.
+
+    At least the article around it, or else the main. Within the main, or the page if it has neither, also every other
+    block of running text, and a top heading that isn't the page's own (directly in the body); but nothing outside an
+    article without a main, nor a main.
+    """
+    tags = [_tag(path) for _, path in chain]
+    at, bound = len(chain) - 1, 0
+    if "article" in tags or "main" in tags:
+        bound = tags.index("main") if "main" in tags else tags.index("article")
+        at = tags.index("article") if "article" in tags else bound
+        bound = min(bound, at)
+    for b in page:
+        shared = sum(c == d for c, d in zip(b.within, chain))
+        if not bound < shared <= at:
+            continue
+        heading = b.tag == "h1" and tags[shared - 1] not in ("html", "body")
+        if heading or len(b.text) - 2 * b.linked >= RUNNING:
+            at = shared - 1
+    while at > bound and (tags[at] in PARTS or tags[at] == "td" and held.get(chain[at - 1], 0) > held[chain[at]]):
+        at -= 1
+    return chain[at]
+
+
 def best_path(page: list[Block], share: float = 0.7) -> tuple[str | None, int]:
-    """The path of the deepest container that holds `share` of the page's running text, and that text's size."""
+    """The path of the page's own best container, and the size of the running text that it holds.
+
+    It is the deepest one that holds `share` of the running text, or the one around it that holds the whole article.
+    """
     held: dict[tuple[int, str], int] = {}
     total = 0
     for b in page:
@@ -163,8 +201,10 @@ def best_path(page: list[Block], share: float = 0.7) -> tuple[str | None, int]:
     deep = [c for c, n in held.items() if n >= share * total]
     if not deep or not total:
         return None, 0
-    number, path = max(deep)  # containers are numbered as they open, so the last is the deepest
-    return path, held[number, path]
+    deepest = max(deep)  # containers are numbered as they open, so the last is the deepest
+    chain = next(b.within[: b.within.index(deepest) + 1] for b in page if deepest in b.within)
+    best = _whole(page, chain, held)
+    return best[1], held[best]
 
 
 def text_of(page: list[Block], path: str | None) -> str:

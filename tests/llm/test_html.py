@@ -37,6 +37,22 @@ def test_end_tags_that_are_left_out():
     assert own("<article><p>a<svg><text>no</text></svg>b<script>never ends <p>c</article>") == "ab"
 
 
+def test_an_article_in_several_containers(spark):
+    lead, body = "The lead says in a sentence what it is all about.", "The body tells it at length. " * 9
+    want = "\n".join(("Title", lead, body.strip()))
+    split = f"<h1>Title</h1><div class=lead>{lead}</div><div class=body>{body}</div>"
+    for page in (f"<body><p>x</p><article>{split}</article>", f"<body><main>{split}</main>", f"<body><main><h1>Title</h1><p>{lead}</p><article>{body}</article></main>", f"<body><div>x</div><div class=post>{split}</div>"):
+        assert own(page) == want
+        rows = [(k, f"http://split.example/{k}", page) for k in range(3)] + [(9, None, page)]
+        got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert [r["text"] for r in got] == [want] * 4
+    for tag in ("blockquote", "figure", "td", "dd", "details", "div"):
+        assert own(f"<body><article><p>Short.</p><{tag}>{body}</{tag}></article>") == "Short.\n" + body.strip()
+        if tag != "div":
+            assert own(f"<body><div class=post><p>Short.</p><{tag}>{body}</{tag}></div><div>x</div>") == "Short.\n" + body.strip()
+    assert own(f"<body><article>{body}</article><div>A frame of the page that isn't part of the article at all.</div>") == body.strip()
+
+
 def test_the_hosts_vote_decides(spark):
     page = lambda body, box: f"<html><body><div class='box{box}'><p>{box}</p></div><div class=story-{box}><p>{body}</p></div></body></html>"
     boxed = "<html><body><div class='frame'><p>" + "a long frame that isn't part of the story at all " * 3 + "</p></div><div class='story-9'><p>tiny</p></div></body></html>"
