@@ -1,7 +1,11 @@
+import os
+import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 import __spark_entry__ as entry
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -12,9 +16,15 @@ def test_every_oracle_has_a_query_and_the_flagship_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_imports_without_the_optional_parts(tmp_path):
-    code = "import sys, importlib.abc\nclass No(importlib.abc.MetaPathFinder):\n    def find_spec(self, name, path=None, target=None):\n        if name.startswith('sparktree.llm') or name == 'corpus_pipeline': raise ModuleNotFoundError(name, name=name)\nsys.meta_path.insert(0, No())\nimport __spark_entry__ as e\nq = e.queries()\nassert q and set(e.oracle_sql()) <= set(q) and not [k for k in q if k.startswith('op') or k == 'pipeline']"
-    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+@pytest.mark.parametrize("also", [(), ("corpus_pipeline.py",)])
+def test_works_on_a_copy_without_the_optional_parts(tmp_path, also):
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", *also))
+    assert not (copy / "sparktree/llm").exists() and not (copy / "tests/llm").exists() and (copy / "corpus_pipeline.py").exists() == (not also)
+    code = "import __spark_entry__ as e\nq = e.queries()\nassert q and set(e.oracle_sql()) <= set(q) and not [k for k in q if k.startswith('op') or k == 'pipeline']"
+    env = {**os.environ, "PYTHONPATH": str(copy)}
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=env)
+    subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"], cwd=copy, check=True, env=env, capture_output=True)
 
 
 def test_nothing_else_imports_the_optional_parts():
