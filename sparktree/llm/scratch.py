@@ -20,6 +20,22 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind them until none is a column of df; case doesn't count."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df that aren't called by one of the names, whatever their case."""
+    return [c for c in df.columns if c.lower() not in names]
+
+
 def materialise(df: DataFrame, name: str, codec: str = "uncompressed") -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage is cut, and a lost executor loses nothing.
 
