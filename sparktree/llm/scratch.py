@@ -44,4 +44,31 @@ def materialise(df: DataFrame, name: str, codec: str = "uncompressed") -> DataFr
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the shared store, through Spark's own file systems."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file to the shared store: beside its place first, so that no reader sees half of it."""
+    jvm = spark._jvm
+    p, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".new")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(beside, p)
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes materialised tables whose last reader is done: nothing lazy may still depend on them."""
+    for t in tables:
+        if path := getattr(t, "_scratch_path", None):
+            delete(t.sparkSession, path)

@@ -50,14 +50,50 @@ def test_odd_rows(spark):
     assert same(ran(spark, rows), brute(rows))
 
 
-def test_runs_are_compacted_and_new_keys_told(spark):
-    runs = LineRuns(spark, fanout=2)
-    batches = [[(b * 10 + k, f"{'y' * 40}{(b + k) % 4}") for k in range(4)] for b in range(4)]
-    seen, new = set(), []
-    for rows in batches:
-        d = spark.createDataFrame(rows, "doc_id long, text string")
-        run = runs.add(line_keys(d), "bigint")
-        new.append(run.filter("is_new").count())
-        seen |= {t for _, t in rows}
-    assert new == [4, 0, 0, 0] and len(runs.runs()) < 4 and max(len(x) for x in runs.levels) < 2
-    assert runs.repeated(4).count() == len(seen) and runs.repeated(5).count() == 0
+def test_runs_are_compacted_and_a_store_goes_on(spark):
+    runs = LineRuns(spark, buckets=4, fanout=2)
+    batches = [[(b * 10 + k, f"{'y' * 40}{(b + k) % 4 if k else 'z'}") for k in range(4)] for b in range(4)]
+    entries = {}
+    for n, rows in enumerate(batches):
+        if n == 2:
+            runs = LineRuns.open(spark, runs.path)
+        runs.add(line_keys(spark.createDataFrame(rows, "doc_id long, text string")))
+        for i, t in rows:
+            entries.setdefault(t, set()).add(i)
+        state = {bytes(r["h"]): (r["n_docs"], r["last_doc"]) for r in runs.state().collect()}
+        assert sorted(state.values()) == sorted((len(v), max(v)) for v in entries.values())
+    assert len(runs.runs()) < 4 and max(len(x) for x in runs.levels) < 2
+    assert runs.repeated(4).count() == 1 and runs.repeated(5).count() == 0
+    again = LineRuns.open(spark, runs.path)
+    assert again.levels == runs.levels and again.state().count() == len(entries)
+
+
+def test_the_anti_join_alone_enters_new_keys(spark, monkeypatch):
+    frame = type(spark.range(0))
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, other, on=None, how=None: join(self, other, on, how).limit(0) if how == "left_anti" else join(self, other, on, how))
+    runs = LineRuns(spark, buckets=2)
+    for k, line in enumerate(("a" * 40, "b" * 40)):
+        runs.add(line_keys(spark.createDataFrame([(k, line)], "doc_id long, text string")))
+    assert runs.state().count() == 1
+
+
+def test_older_runs_are_never_exchanged(spark):
+    runs = LineRuns(spark, buckets=4, fanout=9)
+    for k in range(3):
+        runs.add(line_keys(spark.createDataFrame([(k, "x" * 40), (k + 10, "y" * 41)], "doc_id long, text string")))
+    first, *rest = runs.runs()
+    own = runs.entries([first])
+    fresh = own.join(runs.entries(rest).select("h").hint("merge"), "h", "left_anti")
+    known = own.join(runs.state().withColumnRenamed("n_docs", "n_").hint("merge"), "h")
+    for plan in (runs.state(), fresh, known):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "Bucketed: true" in text
+    runs.close()
+
+
+def test_clashing_columns_stay(spark):
+    d = spark.createDataFrame([(k, "x" * 50, 1, 2, 3, 4) for k in range(6)], "doc_id long, text string, drop_ int, drop_id_ int, `of` int, dropped int")
+    got = dedup_lines(d)
+    assert got.columns == [*d.columns, "kept_text", "n_lines", "n_dropped"]
+    assert sorted((r["doc_id"], r["n_dropped"], r["drop_"], r["drop_id_"], r["of"], r["dropped"]) for r in got.collect()) == [(k, int(k < 5), 1, 2, 3, 4) for k in range(6)]
