@@ -3,8 +3,14 @@
 Words, pairs of words, and the shapes of both are hashed to buckets. One pass over all documents counts the buckets in
 raw text and, for a bounded sample of labelled documents, in target text. A document's log weight is the sum over its
 n-grams of log p_target / p_raw, where the target's counts are shrunk towards what raw text lets expect, so that words
-the sample happens not to hold cost nothing. Adding a Gumbel variate, a hash of the seed and the document, and taking
-the k largest keys samples k documents without replacement in proportion to their weights.
+the sample happens not to hold cost nothing.
+
+That sum grows with the text: between two long documents it differs by hundreds, beside which a Gumbel variate is
+nothing. So it is normalised: the mean of an n-gram is turned into the log odds that the document is of the target, by a
+logistic curve fitted to the labelled sample. Odds are importance weights up to a factor. k, the number to sample, is fixed
+first: given, or else the sum of these probabilities over all documents, which is how many of the target are to be
+expected. Adding a Gumbel variate, a hash of the seed and the document, to the log odds and taking the k largest keys
+samples k documents without replacement in proportion to their weights.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from . import textkit as T
+from .scratch import materialise, release, without
 
 #: Buckets of words, pairs, shapes, and pairs of shapes; their number bounds what reaches the driver.
 PARTS = (1 << 15, 1 << 15, 1 << 13, 1 << 13)
@@ -117,21 +124,49 @@ def top_k_key(keyed: DataFrame, key: str, k: int, enough: int = 10_000) -> float
     return rest
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, most_labelled: int = 20_000, lose: float = 0.001, pass_: float = 0.98, seed: int = 11) -> DataFrame:
-    """The rows and columns of docs(doc_id, text, ...) with n_grams, log_weight, gumbel_key and kept.
+def calibrated(mean: np.ndarray, of_target: np.ndarray, rounds: int = 50, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and intercept of the log odds of the target by Newton's method. The ridge keeps them finite where the two are apart."""
+    a, b, best = 0.0, 0.0, None
+    scale = max(1e-9, float(mean.std()))
+    x = mean / scale
+
+    def loss(a: float, b: float) -> float:
+        z = a * x + b
+        return float(np.sum(np.logaddexp(0, z) - of_target * z) + ridge * (a * a + b * b) / 2)
+
+    best = loss(a, b)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -40, 40)))
+        w, g = p * (1 - p), p - of_target
+        h = np.array([[np.sum(w * x * x) + ridge, np.sum(w * x)], [np.sum(w * x), np.sum(w) + ridge]])
+        step = np.linalg.solve(h, [np.sum(g * x) + ridge * a, np.sum(g) + ridge * b])
+        size = 1.0
+        while size > 1e-6 and loss(a - size * step[0], b - size * step[1]) > best:
+            size /= 2
+        a, b = a - size * step[0], b - size * step[1]
+        now = loss(a, b)
+        if best - now < 1e-9:
+            break
+        best = now
+    return a / scale, b
+
+
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, most_labelled: int = 20_000, seed: int = 11) -> DataFrame:
+    """The rows and columns of docs(doc_id, text, ...) with n_grams, log_weight, log_odds, gumbel_key and kept.
 
     The target is the text of documents labelled quality = 1 in labels(doc_id, quality), of which at most most_labelled
-    rows are used. kept: the k documents of largest key (more only where keys tie). Without k, as many as have a key
-    of at least the middle between the `lose` quantile of keys of labelled target documents and the `pass_` quantile
-    of the other labelled ones, so that clean documents stay. Without labels of the target all weights are 0 and all
-    documents are kept. A null or empty text has no n-grams, weight 0 and is judged by its key like others; a null
-    doc_id and repeated rows are judged row by row. Columns of these four names are replaced.
+    rows are used. kept: the k documents of largest key (more only where keys tie, as those of equal rows do). Without k,
+    as many are sampled as are expected to be of the target. Without labels of the target, or without k and others to
+    tell it from, all documents are kept; with k and no others, the log odds are the mean log weights. A null or empty
+    text has no n-grams, weight 0 and is judged by its key like others; a null doc_id and repeated rows are judged row by
+    row. An empty table gives an empty table. Columns of these five names are replaced, all others stay.
     """
     spark = docs.sparkSession
-    passed = [c for c in docs.columns if c not in ("n_grams", "log_weight", "gumbel_key", "kept", "id_", "label_")]
+    passed = without(docs, "n_grams", "log_weight", "log_odds", "gumbel_key", "kept")
     docs = docs.select(*passed)
-    sample = F.broadcast(labelled_sample(labels, "quality", most_labelled, seed))
-    flagged = docs.join(sample, F.col("doc_id") == F.col("id_"), "left").select("text", (F.coalesce("label_", F.lit(0)) > 0).alias("target_"))
+    sample = labelled_sample(labels, "quality", most_labelled, seed).withColumnsRenamed({"id_": "known_id", "label_": "known"})
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("known_id"), "left").select("doc_id", "text", "known")
+    flagged = texts.select("text", (F.coalesce("known", F.lit(0)) > 0).alias("target_"))
     counts = flagged.mapInArrow(_count, "bucket long, n_raw long, n_target long").groupBy("bucket").agg(F.sum("n_raw"), F.sum("n_target"))
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for bucket, a, b in counts.collect():  # a row for each bucket, whatever the input
@@ -140,19 +175,28 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, most_labe
 
     def scored(rows: DataFrame, keep: list[str]) -> DataFrame:
         schema = StructType([*(rows.schema[c] for c in keep), StructField("n_grams", LongType()), StructField("log_weight", DoubleType())])
-        return rows.mapInArrow(lambda it: _score(it, keep, ratios), schema).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed, F.col("doc_id")))
+        return rows.mapInArrow(lambda it: _score(it, keep, ratios), schema)
+
+    mean = F.col("log_weight") / F.greatest(F.col("n_grams"), F.lit(1))
+
+    def keyed(rows: DataFrame, slope: float, intercept: float) -> DataFrame:
+        return rows.withColumn("log_odds", F.lit(slope) * mean + F.lit(intercept)).withColumn("gumbel_key", F.col("log_odds") + gumbel(seed, F.col("doc_id")))
 
-    out = scored(docs, passed)
     if not target.any():
-        return out.withColumn("kept", F.lit(True))
-    if k is not None:
-        cut = top_k_key(out, "gumbel_key", k)
-        return out.withColumn("kept", F.lit(k > 0) if cut is None else F.col("gumbel_key") >= cut)
-    known = scored(docs.join(sample, F.col("doc_id") == F.col("id_")).select("doc_id", "text", "label_"), ["doc_id", "text", "label_"])
-    good, bad = F.when(F.col("label_") > 0, F.col("gumbel_key")), F.when(F.col("label_") <= 0, F.col("gumbel_key"))
-    low, high = known.agg(F.percentile(good, F.lit(lose)), F.percentile(bad, F.lit(pass_))).first()
-    cut = low if high is None or high > low else (low + high) / 2
-    return out.withColumn("kept", F.col("gumbel_key") >= cut)
-
-
-__all__ = ["gumbel", "labelled_sample", "resample", "top_k_key"]
+        return keyed(scored(docs, passed), 1.0, 0.0).withColumn("kept", F.lit(True))
+    weights = materialise(scored(texts, ["doc_id", "known"]), "weights")
+    known = weights.filter("known is not null").select(mean.alias("mean"), "known").toPandas()  # bounded by most_labelled
+    good = known["known"].to_numpy() > 0
+    told = good.any() and not good.all()
+    order = np.lexsort((good, known["mean"].to_numpy()))  # one order of sums, whatever the tasks'
+    slope, intercept = calibrated(known["mean"].to_numpy()[order], good[order].astype(float)) if told else (1.0, 0.0)
+    keys = keyed(weights, slope, intercept)
+    if k is None and told:
+        k = int(round(keys.agg(F.sum((1 / (1 + F.exp(-F.col("log_odds")))).cast("decimal(38,12)"))).first()[0] or 0))
+    cut = None if k is None else top_k_key(keys, "gumbel_key", k)
+    out = keyed(scored(docs, passed), slope, intercept)
+    release(weights)
+    return out.withColumn("kept", F.lit(k is None or k > 0) if cut is None else F.col("gumbel_key") >= cut)
+
+
+__all__ = ["calibrated", "gumbel", "labelled_sample", "resample", "top_k_key"]

@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparktree.llm.importance import resample, top_k_key
+from sparktree.llm.importance import calibrated, resample, top_k_key
 from sparktree.llm.toxicity import classify, train_chain
 
 
@@ -45,6 +46,32 @@ def test_k_largest_keys(tables):
     assert resample(d, labels, k=0).filter("kept").isEmpty() and resample(d, labels, k=5000).filter("kept").count() == 1200
 
 
+def test_without_k_as_many_are_sampled_as_are_expected(tables):
+    rows = resample(*tables).toPandas()
+    expected = (1 / (1 + np.exp(-rows["log_odds"]))).sum()
+    assert abs(rows["kept"].sum() - expected) <= 0.51
+    assert set(rows.sort_values("gumbel_key", ascending=False).index[: rows["kept"].sum()]) == set(rows.index[rows["kept"]])
+
+
+def test_samples_follow_the_weights(spark):
+    # ten kinds of one-word text, half of whose copies are labelled in proportions 1 to 10 of 11: odds and so samples follow
+    texts = [(k, f"kind{k % 10}") for k in range(20_000)]
+    labels = spark.createDataFrame([(k, int((k // 20) % 11 <= k % 10)) for k, _ in texts if (k // 10) % 2], "doc_id long, quality int")
+    rows = resample(spark.createDataFrame(texts, "doc_id long, text string"), labels).toPandas()
+    share = rows.groupby("text")["kept"].mean().to_numpy()
+    assert (np.diff(share) > 0).all() and 0.02 < share[0] < 0.3 and 0.7 < share[-1] < 0.99
+
+
+def test_calibration():
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(0, 0.1, 20_000)
+    y = rnd.random(20_000) < 1 / (1 + np.exp(-(30 * x - 1)))
+    a, b = calibrated(x, y.astype(float))
+    assert abs(a - 30) < 2 and abs(b + 1) < 0.1
+    a, b = calibrated(np.array([-2.0, -1, 1, 2]), np.array([0.0, 0, 1, 1]))
+    assert np.isfinite([a, b]).all() and -a + b < -3 < 3 < a + b
+
+
 def test_top_k_by_histograms(spark):
     d = spark.range(5000).select((F.pmod(F.xxhash64("id"), F.lit(1000)) / 7).alias("key"))
     keys = sorted((r["key"] for r in d.collect()), reverse=True)
