@@ -7,14 +7,15 @@ but its outputs, and where the assistant's text stands in a span is found by the
 
 A long conversation is rendered in stretches of `stretch` turns, each overlapping the last turn before it, so that work
 is linear in its length. The span of a turn after a stretch's start is what it adds to the output for the turn before.
-The whole conversation is then rendered once: if the stretches fail, rewrite anything or don't add up to that output, the
-template looks further back than a stretch, and the conversation's true prefixes are rendered instead, at quadratic cost.
+The whole conversation is then rendered once, and prefixes of doubling length once each, which is linear too: if the stretches
+fail, rewrite anything or don't add up to each of these outputs, the template looks further back than a stretch, and the
+conversation's true prefixes are rendered instead, at quadratic cost.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -28,6 +29,9 @@ Turn = tuple[str, str]  # role, text
 #: The conversation that every formatting adds, numbered -7: texts that look like control strings and escapes.
 PROBE_ID, PROBE_TEXT = -7, r"\### Assistant: </turn> ok"
 
+#: A turn of the default template: role and text, escaped.
+TURN = re.compile(r"<turn ((?:[^\\<>]|\\.)*+)>\n((?:[^\\<>]|\\.)*+)</turn>\n", re.S)
+
 
 @dataclass(frozen=True)
 class Template:
@@ -51,9 +55,13 @@ class Template:
     def render(self, turns: list[Turn]) -> str:
         return "".join(self.start.format(self.escape(role)) + self.escape(text) + self.end for role, text in turns)
 
+    def read(self, output: str) -> list[Turn]:
+        """The turns of an output, read back from it alone."""
+        return [(self.unescape(m[1]), self.unescape(m[2])) for m in TURN.finditer(output)]
+
     def find(self, output: str, span: tuple[int, int]) -> tuple[str, tuple[int, int]]:
         """The role of the turn in a span of an output, and the span of its escaped text, read from the output alone."""
-        m = re.compile(r"<turn ((?:[^\\<>]|\\.)*)>\n((?:[^\\<>]|\\.)*)</turn>\n", re.S).fullmatch(output, *span)
+        m = TURN.fullmatch(output, *span)
         if not m:
             raise ValueError(f"no turn at {span} of the output")
         return self.unescape(m[1]), m.span(2)
@@ -83,13 +91,18 @@ def _in_stretches(render: Callable[[list[Turn]], str], turns: list[Turn], stretc
     return Formatted("".join(parts), spans, None)
 
 
+def _doubling(n: int, end: int) -> Iterator[int]:
+    while (n := 2 * n) < end:
+        yield n
+
+
 def spans_by_prefixes(render: Callable[[list[Turn]], str], turns: list[Turn], stretch: int = 64) -> Formatted:
     """Renders successive prefixes and locates each turn's span in the whole output, which is always render(turns)."""
     whole = render(turns) if turns else ""
     if len(turns) > stretch:
         try:
             f = _in_stretches(render, turns, stretch)
-            if f.rewrites is None and f.output == whole:
+            if f.rewrites is None and f.output == whole and all(render(turns[:n]) == whole[: f.spans[n - 1][1]] for n in _doubling(stretch, len(turns))):
                 return f
         except Exception:  # a template may refuse a window that it would take as part of the conversation
             pass
@@ -146,12 +159,11 @@ def format_conversations(rows: DataFrame, template=None, stretch: int = 64, prob
 
 
 def _digests(batches, template):
-    turn = re.compile(r"<turn ((?:[^\\<>]|\\.)*)>\n((?:[^\\<>]|\\.)*)</turn>\n", re.S)
     hexed = lambda s: sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
     for batch in batches:
         rows = []
         for output, spans in zip(batch.column("formatted").to_pylist(), batch.column("loss_spans").to_pylist()):
-            read = [(template.unescape(m[1]), template.unescape(m[2])) for m in turn.finditer(output)]
+            read = template.read(output)
             loss = "".join(template.unescape(output[s["start"] : s["end"]]) for s in spans)
             rows.append((len(read), hexed("".join(f"{role}\n{text}\n" for role, text in read)), len(loss), hexed(loss), len(output)))
         cols = list(zip(*rows)) or [[]] * 5
@@ -162,7 +174,7 @@ def _digests(batches, template):
 
 
 def digests(formatted: DataFrame, template=None) -> DataFrame:
-    """What can be read back from outputs of the default template: turns, the text under the loss mask, lengths."""
+    """What the template reads back from its outputs: turns, the text under the loss mask, lengths."""
     template = template or Template()
     schema = StructType([formatted.schema["conv_id"], StructField("n_turns", LongType()), StructField("turns_sha256", StringType()), StructField("loss_chars", LongType()), StructField("loss_sha256", StringType()), StructField("formatted_chars", LongType()), StructField("rewrites_at", LongType())])
     return formatted.mapInArrow(lambda it: _digests(it, template), schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import materialise, release
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -26,14 +26,20 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 50) -> DataFrame:
-    """node, root: for each node of links, the least node of its component; links of a node with itself are ignored."""
+    """node, root: for each node of links, the least node of its component; links of a node with itself are ignored.
+
+    The two steps halve the longest distance or better, so most_rounds is reached by no table; if it is, that is an error.
+    """
     now = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
     now = materialise(now, "links")
     state = None
     for _ in range(most_rounds):
-        now = materialise(_star(_star(now, True), False), "links")
+        last, now = now, materialise(_star(_star(now, True), False), "links")
+        release(last)
         new = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if new == state:
             break
         state = new
+    else:
+        raise RuntimeError(f"components haven't settled after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

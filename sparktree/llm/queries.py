@@ -93,6 +93,48 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES: dict[str, str] = {
+    "op1_near_duplicates": f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^ \t\n\x0B\f\r]+') AS w FROM documents
+), elements AS (
+  SELECT DISTINCT doc_id, md5(unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS e
+  FROM worded WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM elements GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM elements a JOIN elements b USING (e) WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 5 * n_both >= 4 * (x.n + y.n - n_both)
+), either AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM reached r JOIN either e ON e.a = r.doc_id
+)
+SELECT doc_id, min(root) AS class_id FROM reached GROUP BY doc_id""",
+    "op9_remove_repeats": """
+WITH texts AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), pieces AS (  -- pieces of 1000 starts, so that a string is cut out of little
+  SELECT doc_id, k, substr(h, CAST(2000 * k + 1 AS BIGINT), 2398) AS p FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2000 + 1)) AS k FROM texts WHERE length(h) >= 400)
+), starts AS (
+  SELECT doc_id, 1000 * k + j AS pos, md5(substr(p, CAST(2 * j + 1 AS BIGINT), 400)) AS s
+  FROM (SELECT doc_id, k, p, unnest(range(0, least(1000, length(p) // 2 - 199))) AS j FROM pieces WHERE length(p) >= 400)
+), repeated AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY s) AS n FROM starts) WHERE n > 1
+), numbered AS (
+  SELECT doc_id, pos, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS span
+  FROM (SELECT doc_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 200 THEN 0 ELSE 1 END AS new FROM repeated)
+), spans AS (
+  SELECT doc_id, span, min(pos) AS a, max(pos) + 200 AS b FROM numbered GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last_b, string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS kept
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(from_hex(coalesce(kept, '') || substr(h, CAST(2 * coalesce(last_b, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)""",
     "op2_decontaminate": """
 WITH d AS (
   SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos

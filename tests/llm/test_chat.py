@@ -1,3 +1,4 @@
+import json
 import random
 from hashlib import sha256
 
@@ -45,6 +46,36 @@ def test_templates_that_look_further_back_than_a_stretch():
     assert f.rewrites is None and f.output == user_first(turns) and len(f.spans) == 150
 
 
+def test_a_rewriting_that_is_undone_later_is_seen():
+    turns = [("assistant" if k % 2 else "user", f"t{k}") for k in range(300)]
+    # between 100 and 200 turns the first ones are left out
+    hides = lambda turns: "".join(f"{r}: {t}\n" for k, (r, t) in enumerate(turns) if not (100 <= len(turns) < 200 and k < 30))
+    f = spans_by_prefixes(hides, turns)
+    assert f.rewrites == 99 and f.spans == [] and f.output == hides(turns)
+
+
+def test_digests_read_by_the_template_itself(spark):
+    class Plain:
+        """Another template: a line of JSON for each turn."""
+
+        def render(self, turns):
+            return "".join(f"{json.dumps(list(t))}\n" for t in turns)
+
+        def unescape(self, text):
+            return json.loads(f'"{text}"')
+
+        def read(self, output):
+            return [tuple(json.loads(x)) for x in output.splitlines()]
+
+        def find(self, output, span):
+            role, text = json.loads(output[slice(*span)])
+            return role, (span[1] - 3 - len(json.dumps(text)) + 2, span[1] - 3)
+
+    rows = [(1, 0, "user", "a \"quote\" \\ é\n"), (1, 1, "assistant", "b \"quote\" \\ é\n"), (1, 2, "assistant", "")]
+    got = digests(format_conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), Plain(), probe=False), Plain()).collect()[0]
+    assert tuple(got[1:5]) == digest([r[2:] for r in rows])
+
+
 def digest(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     h = lambda s: sha256(s.encode()).hexdigest()
