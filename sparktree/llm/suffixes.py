@@ -3,41 +3,48 @@
 A byte goes if it is covered by a LENGTH-byte string that also starts anywhere else in the corpus. To compare all
 suffixes is neither needed nor possible at scale, so sorting is confined, without loss, to where repeats can be:
 
-1. The least of the hashes of the GRAM-byte strings within a LENGTH-byte string is a function of that string alone, so
-   equal strings have equal minima. Successive strings of a text with the same minimum make a stretch, about one for
-   (LENGTH - GRAM) / 2 bytes; a stretch whose minimum occurs once in the corpus holds no repeat.
-2. A stretch that occurs twice or more as a whole (same digest of all its bytes) is repeated as a whole.
-3. Where one minimum has several different stretches, repeats may begin or end inside them. One representative of each
-   is cut into the suffix from the minimal gram and the bytes to its left. Suffixes are sorted in each task, cut into
-   ranges at sampled splitters, front-coded (length of the prefix shared with the one before, and the rest) and
-   exchanged; each range merges its runs with a loser tree whose comparisons start behind the prefix already known.
-   Suffixes that share the gram come out together, with the lengths of their common prefixes, and the strings of
-   each such group are compared in NumPy.
-4. Repeats within a stretch of its own (text of a short period) are found when stretches are cut.
-
-Matches never cross texts. Stretches, digests and grams are told apart by 64-bit hashes; suffixes are compared by bytes.
+1. Of the GRAM-byte strings within a LENGTH-byte string, the first one of least hash is its anchor. Where it stands is a
+   function of the string alone, so equal strings have equal anchors at equal offsets. Successive strings of a text with
+   the same anchor make a stretch, about one for (LENGTH - GRAM) / 2 bytes; a stretch whose anchor's hash occurs once in
+   the corpus holds no repeat. That is all that hashes are used for.
+2. All other stretches are sorted, each by one key: the suffix from its anchor on, then the bytes before the anchor from
+   right to left. A task sorts its own keys, of which equal ones are one entry with a count, and writes them
+   as a run of front-coded blocks (length of the prefix shared with the key before, and the rest).
+3. Runs are cut into ranges at sampled keys and exchanged; a range merges its runs with a loser tree whose comparisons
+   start behind the prefix already known, and which gives out each key with the prefix it shares with the one before.
+   An entry of count 2 is repeated as a whole. Of others, the string that starts d bytes before the anchor is repeated if some
+   other entry shares the d bytes before it and LENGTH - d from it on: the latter are the entries around it between which
+   the common prefix never falls below LENGTH - d, and the same holds for the former in the order of the bytes before.
+4. A boundary between ranges may cut the entries of one anchor, of which a hot passage can have any number. How much an entry
+   shares with the boundary bounds what it shares with all entries beyond. Strings that could so be repeated
+   there are brought together by hash, one of each kind from a range, and then compared by their bytes.
+
+Matches never cross texts. No string is held to be equal to another by a hash.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from . import textkit as T
-from .scratch import materialise
+from .scratch import materialise, release
 
 LENGTH, GRAM = 200, 48
-#: Groups of more different stretches than this are compared through a shuffle by string, not in one task.
-LARGE_GROUP = 4096
-#: Suffixes sampled to place the ranges' splitters; results don't depend on it.
+#: Bytes of keys that a task sorts at once; a task with more writes several runs.
+RUN_BYTES = 64 << 20
+#: Entries of a block of a run, entries of a range on average, and entries that are decided at once (or more, if one anchor has more).
+BLOCK, RANGE, BATCH = 1024, 20_000, 40_000
+#: Keys sampled to place the ranges' boundaries, and so the most ranges; results don't depend on it.
 SPLITTER_SAMPLE = 20_000
 
 
@@ -50,74 +57,46 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(y[:n], y[width - size : width - size + n])
 
 
-def stretches(t: T.Texts, length: int = LENGTH, gram: int = GRAM):
-    """Of texts: doc, first and last string, minimum and digest of each stretch; then doc, first and last of strings repeated within one."""
+def stretches(t: T.Texts, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Of texts: the text of each stretch, its first and last string, its anchor, and the anchor's hash."""
     empty = np.zeros(0, np.int64)
     if len(t.data) < length:
-        return (empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)), (empty, empty, empty)
+        return empty, empty, empty, empty, empty.astype(np.uint64)
     width = length - gram + 1
     sums = T.prefix_sums(t.data)
-    inverse = T.powers(T.INVERSE, len(sums))
-    grams = T.mix((sums[gram:] - sums[:-gram]) * inverse[: len(sums) - gram])
+    grams = T.mix((sums[gram:] - sums[:-gram]) * T.powers(T.INVERSE, len(sums))[: len(sums) - gram])
     least = sliding_min(grams, width)
     valid = np.zeros(len(least) + 1, np.int8)
     long = t.ends - t.starts >= length
     np.add.at(valid, t.starts[long], 1)
     np.add.at(valid, t.ends[long] - length + 1, -1)
     valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
-    first_of_text = np.zeros(len(least), bool)
-    first_of_text[t.starts[long]] = True
     new = valid.copy()
-    new[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | first_of_text[1:]
+    # a string that starts at its anchor is the last one with it, though the next may have another of the same hash
+    new[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])
+    new[t.starts[long]] = True
     first = np.flatnonzero(new)
+    if not len(first):
+        return empty, empty, empty, empty, empty.astype(np.uint64)
     last_at = np.flatnonzero(valid)
     last = last_at[np.searchsorted(last_at, np.append(first[1:], len(least))) - 1]
-    doc = np.searchsorted(t.starts, first, "right") - 1
+    anchor = last + np.lib.stride_tricks.sliding_window_view(grams, width)[last].argmin(1)
     # equal empty texts share a start: the owner is the last of those, which is the one with bytes
-    digest = T.span_hashes(sums, first, last + length)
-    # strings repeated within a stretch: its minimal gram stands there twice
-    cover = least.copy()
-    cover[~valid] = 0
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), cover, np.zeros(width - 1, np.uint64)])
-    chosen = np.flatnonzero(grams == ~sliding_min(~padded, width))
-    twice = np.flatnonzero(grams[chosen[1:]] == grams[chosen[:-1]])
-    own = [], [], []
-    if len(twice):
-        x, y = chosen[twice], chosen[twice + 1]
-        p = np.where(y - width + 1 <= x, np.maximum(y - width + 1, 0), x)
-        p = np.minimum(p, len(least) - 1)
-        run = np.searchsorted(first, p, "right") - 1
-        for r in np.unique(run[(run >= 0) & (least[p] == grams[x])]):
-            at = np.arange(first[r], last[r] + 1)
-            h = T.span_hashes(sums, at, at + length)
-            _, back, n = np.unique(h, return_inverse=True, return_counts=True)
-            for a, b in _joined(at[n[back] > 1]):
-                for o, v in zip(own, (doc[r], a, b)):
-                    o.append(v)
-    return (doc, first - t.starts[doc], last - t.starts[doc], least[first], digest), tuple(np.array(o, np.int64) for o in (own[0], [a - t.starts[d] for d, a in zip(own[0], own[1])], [b - t.starts[d] for d, b in zip(own[0], own[2])]))
-
-
-def _joined(at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """First and last of runs of successive integers."""
-    if len(at):
-        cut = np.flatnonzero(np.diff(at) > 1)
-        yield from zip(at[np.append(0, cut + 1)].tolist(), at[np.append(cut, len(at) - 1)].tolist())
+    doc = np.searchsorted(t.starts, first, "right") - 1
+    return doc, first - t.starts[doc], last - t.starts[doc], anchor - t.starts[doc], least[first]
 
 
 def _text_hash(t: T.Texts) -> np.ndarray:
-    return T.span_hashes(T.prefix_sums(t.data), t.starts, t.ends).astype(np.uint32).view(np.int32)
+    return T.span_hashes(T.prefix_sums(t.data), t.starts, t.ends).view(np.int64)
 
 
 def _scan(batches):
     for batch in batches:
         for t in T.chunks(batch.column("text")):
-            (doc, first, last, least, digest), (own, a, b) = stretches(t)
-            text = _text_hash(t)
-            ids = batch.column("doc_id").take(pa.array(np.concatenate([doc, own]) + t.first))
-            hashes = [pa.concat_arrays([pa.array(h.view(np.int64)), pa.nulls(len(own), pa.int64())]) for h in (least, digest)]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(text[np.concatenate([doc, own])]), *hashes, pa.array(np.concatenate([first, a]).astype(np.int32)), pa.array(np.concatenate([last, b]).astype(np.int32))], names=["doc_id", "text_hash", "least", "digest", "first", "last"]
-            )
+            doc, first, last, anchor, least = stretches(t)
+            ids = batch.column("doc_id").take(pa.array(doc + t.first))
+            numbers = [pa.array(x.astype(np.int32)) for x in (first, last, anchor)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(_text_hash(t)[doc]), pa.array(least.view(np.int64)), *numbers], names=["doc_id", "text_hash", "least", "first", "last", "anchor"])
 
 
 def _pack(batches):
@@ -128,32 +107,7 @@ def _pack(batches):
         for t in T.chunks(batch.column("text")):
             hashes.append(_text_hash(t))
             texts += [squeeze.compress(t.data[a:b].tobytes()) for a, b in zip(t.starts, t.ends)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate([*hashes, np.zeros(0, np.int32)]), pa.int32()), pa.array(texts, pa.binary())], names=["doc_id", "text_hash", "packed"])
-
-
-def _cut(batches):
-    """The suffix from the minimal gram, and the bytes to its left, of each stretch asked for."""
-    open_ = zstandard.ZstdDecompressor()
-    for batch in batches:
-        out = {k: [] for k in ("row", "suffix", "left", "first", "n")}
-        for k, (packed, asked) in enumerate(zip(batch.column("packed").to_pylist(), batch.column("asked").to_pylist())):
-            text = open_.decompress(packed)
-            data = np.frombuffer(text, np.uint8)
-            sums = T.prefix_sums(data)
-            for x in asked:
-                at = np.arange(x["first"], x["last"] + LENGTH - GRAM + 1)
-                grams = T.mix((sums[at + GRAM] - sums[at]) * T.powers(T.INVERSE, len(sums))[at])
-                gram = x["first"] + int(np.flatnonzero(grams == np.int64(x["least"]).view(np.uint64))[0])
-                out["row"].append(k)
-                out["suffix"].append(text[gram : x["last"] + LENGTH])
-                out["left"].append(text[x["first"] : gram])
-                out["first"].append(x["first"])
-                out["n"].append(x["n"])
-        rows = pa.array(out["row"], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array(out["suffix"], pa.binary()), pa.array(out["left"], pa.binary()), pa.array(out["first"], pa.int32()), pa.array(out["n"], pa.int64())],
-            names=["doc_id", "text_hash", "suffix", "left", "first", "n"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate([*hashes, np.zeros(0, np.int64)]), pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "text_hash", "packed"])
 
 
 def common_prefix(x: bytes, y: bytes, known: int = 0) -> int:
@@ -237,96 +191,203 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tupl
             node //= 2
 
 
-RUN = "range int, shared array<int>, rest array<binary>, left array<binary>, doc_id array<bigint>, null_id array<boolean>, text_hash array<int>, first array<int>, n array<bigint>"
-COLUMNS = ("left", "doc_id", "null_id", "text_hash", "first", "n")
-
-
-def _runs(batches, splitters: list[bytes]):
-    """A task's suffixes sorted, cut at the splitters, front-coded: a row for each range."""
-    held = list(batches)
-    if not held:
-        return
-    rows = pa.Table.from_batches(held)
-    if not rows.num_rows:
-        return
-    ids = rows["doc_id"]
-    cols = [rows["suffix"].to_pylist(), rows["left"].to_pylist(), ids.fill_null(0).to_pylist(), ids.is_null().to_pylist(), rows["text_hash"].to_pylist(), rows["first"].to_pylist(), rows["n"].to_pylist()]
-    order = sorted(range(rows.num_rows), key=cols[0].__getitem__)
-    ranges: dict[int, list[int]] = {}
-    for i in order:
-        ranges.setdefault(bisect_right(splitters, cols[0][i][:GRAM]), []).append(i)
-    for r, at in ranges.items():
-        shared, rest = front_code(cols[0][i] for i in at)
-        row = {"range": [r], "shared": [shared], "rest": [rest], **{c: [[v[i] for i in at]] for c, v in zip(COLUMNS, cols[1:])}}
-        types = dict(range=pa.int32(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), left=pa.list_(pa.binary()), doc_id=pa.list_(pa.int64()), null_id=pa.list_(pa.bool_()), text_hash=pa.list_(pa.int32()), first=pa.list_(pa.int32()), n=pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(row[c], types[c]) for c in types], names=list(types))
-
-
-def _merged(batches):
-    """Merges the runs of each range; yields for each group of one gram the strings found in it twice."""
-    by_range: dict[int, list[dict]] = {}
+#: A block of a run: its keys front-coded, how much of each is suffix, how often each occurs, and where: the entry of each
+#: occurrence, its text and its anchor. What is merged reads no occurrences, so their number weighs on no range.
+BLOCKS = "run bigint, block int, head binary, shared array<int>, rest array<binary>, cut array<int>, n array<int>, entry array<int>, doc_id array<bigint>, text_hash array<bigint>, anchor array<int>"
+BLOCK_TYPES = dict(run=pa.int64(), block=pa.int32(), head=pa.binary(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), cut=pa.list_(pa.int32()), n=pa.list_(pa.int32()), entry=pa.list_(pa.int32()), doc_id=pa.list_(pa.int64()), text_hash=pa.list_(pa.int64()), anchor=pa.list_(pa.int32()))
+PIECES = "range int, run bigint, block int, first int, shared array<int>, rest array<binary>, cut array<int>, n array<int>"
+PIECE_TYPES = dict(range=pa.int32(), run=pa.int64(), block=pa.int32(), first=pa.int32(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), cut=pa.list_(pa.int32()), n=pa.list_(pa.int32()))
+#: Strings of an entry that are repeated, from `low` to `high` (starts, counted from the anchor); with h, one that may be.
+MARKS = "run bigint, block int, entry int, low int, high int, h bigint"
+
+
+def _rows(rows: list[dict], types: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in types.items()], names=list(types))
+
+
+def _runs(batches):
+    """The stretches asked for, as sorted runs of blocks."""
+    open_, number = zstandard.ZstdDecompressor(), TaskContext.get().partitionId() << 24
+    held: dict[tuple[bytes, int], list[tuple]] = {}
+    size = 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        keys = sorted(held)
+        for block, at in enumerate(range(0, len(keys), BLOCK)):
+            some = keys[at : at + BLOCK]
+            places = [held[k] for k in some]
+            shared, rest = front_code(k for k, _ in some)
+            flat = [x for p in places for x in p]
+            entry = [i for i, p in enumerate(places) for _ in p]
+            yield _rows([dict(run=number, block=block, head=some[0][0], shared=shared, rest=rest, cut=[c for _, c in some], n=[len(p) for p in places], entry=entry, doc_id=[x[0] for x in flat], text_hash=[x[1] for x in flat], anchor=[x[2] for x in flat])], BLOCK_TYPES)
+
+    for batch in batches:
+        asked, texts = batch.column("asked"), batch.column("packed").to_pylist()
+        inner, offsets = asked.flatten(), np.concatenate([[0], np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))])
+        first, last, anchor = (inner.field(c).to_numpy().tolist() for c in ("first", "last", "anchor"))
+        for k, (doc, text_hash, packed) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts)):
+            text = open_.decompress(packed)
+            for x in range(offsets[k], offsets[k + 1]):
+                g, end = anchor[x], last[x] + LENGTH
+                key = text[g:end] + text[first[x] : g][::-1]
+                held.setdefault((key, end - g), []).append((doc, text_hash, g))
+                size += 200 + len(key)
+            if size > RUN_BYTES:
+                yield from flushed()
+                held, size, number = {}, 0, number + 1
+    yield from flushed()
+
+
+def _pieces(batches, splitters: list[bytes]):
+    """Blocks cut at the splitters; a piece starts with a whole key."""
     for batch in batches:
         for row in batch.to_pylist():
-            by_range.setdefault(row["range"], []).append(row)
-    out: list[tuple] = []
-    for rows in by_range.values():
-        runs = []
-        for row in rows:
-            payload = zip(*(row[c] for c in COLUMNS))
-            runs.append((k, s, p) for (k, s), p in zip(front_decode(row["shared"], row["rest"]), payload))
-        group: list[tuple[bytes, tuple]] = []
-        for shared, s, p in merge_runs(runs):
-            if shared < GRAM and group:
-                out += _group(group)
-                group = []
-            group.append((s, p))
-        out += _group(group)
-        if len(out) > 50_000:
-            yield _batch(out)
-            out = []
-    yield _batch(out)
-
-
-FOUND = StructType([StructField("doc_id", LongType()), StructField("text_hash", IntegerType()), StructField("first", IntegerType()), StructField("last", IntegerType()), StructField("string", BinaryType())])
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=FOUND.names)
-
-
-def _group(group: list[tuple[bytes, tuple]]) -> list[tuple]:
-    """(doc_id, text_hash, first, last, string) of the repeated strings of stretches that share a gram.
-
-    With string null, these are first and last of repeated strings. In a group too large for one task, each string of
-    each stretch is returned with its digest instead, to be counted by a shuffle.
-    """
-    if len(group) < 2:
-        return []
-    texts = [p[0] + s for s, p in group]
-    ends = np.cumsum([len(x) for x in texts])
-    starts = ends - [len(x) for x in texts]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    sums = T.prefix_sums(data)
-    counts = ends - starts - LENGTH + 1
-    owner = np.repeat(np.arange(len(group)), counts)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = starts[owner] + offset
-    hashes = T.span_hashes(sums, at, at + LENGTH)
-    name = lambda p: (None if p[2] else p[1], p[3])  # noqa: E731  doc_id, text_hash
-    if len(group) > LARGE_GROUP:
-        return [(*name(group[o][1]), group[o][1][4] + k, group[o][1][5], int(h).to_bytes(8, "big")) for o, k, h in zip(owner.tolist(), offset.tolist(), hashes.tolist())]
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order[1:]] == hashes[order[:-1]]
-    twice = np.zeros(len(order), bool)
-    twice[order[1:]] = same
-    twice[order[:-1]] |= same
-    out = []
-    for o in np.unique(owner[twice]):
-        p = group[o][1]
-        if p[5] == 1:  # stretches that occur as a whole elsewhere go as a whole
-            out += [(*name(p), p[4] + a, p[4] + b, None) for a, b in _joined(offset[twice & (owner == o)])]
-    return out
+            keys = [k for _, k in front_decode(row["shared"], row["rest"])]
+            ends = sorted({*(bisect_left(keys, x) for x in splitters[bisect_right(splitters, keys[0]) : bisect_right(splitters, keys[-1])]), len(keys)} - {0})
+            at, out = 0, []
+            for end in ends:
+                part = slice(at, end)
+                out.append(dict(range=bisect_right(splitters, keys[at]), run=row["run"], block=row["block"], first=at, shared=[0, *row["shared"][at + 1 : end]], rest=[keys[at], *row["rest"][at + 1 : end]], cut=row["cut"][part], n=row["n"][part]))
+                at = end
+            yield _rows(out, PIECE_TYPES)
+
+
+def _run_of(pieces: list[dict]) -> Iterator[tuple[int, bytes, tuple]]:
+    """Pieces of a run as one run: prefix shared with the key before, key, (suffix bytes, count, run, block, entry)."""
+    before = b""
+    for p in sorted(pieces, key=lambda x: (x["block"], x["first"])):
+        for k, ((shared, key), cut, n) in enumerate(zip(front_decode(p["shared"], p["rest"]), p["cut"], p["n"])):
+            yield shared if k else common_prefix(before, key), key, (cut, n, p["run"], p["block"], p["first"] + k)
+            before = key
+
+
+class Entries:
+    """Entries of whole anchors, in order, to be decided together; `beyond` is what each may share with other ranges."""
+
+    def __init__(self):
+        self.keys, self.shared, self.cut, self.n, self.places, self.beyond = [], [], [], [], [], []
+
+    def add(self, shared: int, key: bytes, cut: int, n: int, place: tuple, beyond: int) -> None:
+        if self.keys and shared == len(key) == len(self.keys[-1]):
+            k = len(self.keys) - 1  # equal keys that are cut elsewhere are other entries, side by side
+            while k >= 0 and self.cut[k] != cut and self.shared[k] == len(key):
+                k -= 1
+            if self.cut[k] == cut and self.keys[k] == key:
+                self.n[k] += n
+                self.places[k].append(place)
+                return
+        for to, x in zip((self.keys, self.shared, self.cut, self.n, self.places, self.beyond), (key, shared, cut, n, [place], beyond)):
+            to.append(x)
+
+    def decided(self) -> Iterator[pa.RecordBatch]:
+        """Marks of the entries, a batch of rows of MARKS."""
+        m = len(self.keys)
+        if not m:
+            return
+        shared, cut, n = (np.array(x, np.int64) for x in (self.shared, self.cut, self.n))
+        shared[0] = 0
+        beyond = np.array(self.beyond, np.int64)
+        lengths = np.array([len(k) for k in self.keys], np.int64)
+        left = lengths - cut
+        # the bytes before the anchors, in their own order
+        tails = [k[c:] for k, c in zip(self.keys, self.cut)]
+        order = np.array(sorted(range(m), key=tails.__getitem__), np.int64)
+        left_shared = np.array([0, *(common_prefix(tails[a], tails[b]) for a, b in zip(order[:-1].tolist(), order[1:].tolist()))], np.int64)
+        most = np.maximum(shared, np.append(shared[1:], 0))
+        left_most = np.empty(m, np.int64)
+        left_most[order] = np.maximum(left_shared, np.append(left_shared[1:], 0))
+        span = LENGTH - GRAM
+        marked = np.zeros((m, span + 2), bool)  # column span + s for start s; the last one stays empty
+        low, high = -left, cut - LENGTH
+        asked: list[tuple[np.ndarray, int]] = []
+        for s in range(-span, 1):
+            there = (low <= s) & (s <= high)
+            able = there & (most >= s + LENGTH) & (left_most >= -s)
+            at = np.flatnonzero(able)
+            alone = there & (beyond >= s + LENGTH)
+            if len(at) > 1:
+                kind = np.cumsum(shared < s + LENGTH)[at] * (m + 1)
+                of_left = np.empty(m, np.int64)
+                of_left[order] = np.cumsum(left_shared < -s)
+                kind += of_left[at]
+                by = np.argsort(kind, kind="stable")
+                same = kind[by[1:]] == kind[by[:-1]]
+                marked[at[by[1:][same]], span + s] = True
+                marked[at[by[:-1][same]], span + s] = True
+                alone[at[by[1:][same]]] = False  # one of each kind asks in other ranges
+            if alone.any():
+                asked.append((np.flatnonzero(alone), s))
+        whole = n > 1
+        marked[whole] = False
+        marked[whole] |= (np.arange(span + 2) - span >= low[whole][:, None]) & (np.arange(span + 2) - span <= high[whole][:, None])
+        flat = np.zeros(m * (span + 2) + 1, np.int8)
+        flat[1:] = marked.ravel()
+        edge = np.diff(flat)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+        owner, a, b = starts // (span + 2), starts % (span + 2) - span, ends % (span + 2) - span
+        yield self._batch(owner, a, b, None)
+        if asked:
+            owner, s = np.concatenate([x for x, _ in asked]), np.concatenate([np.full(len(x), k) for x, k in asked])
+            data = np.frombuffer(b"".join(t[::-1] + k[:c] for t, k, c in zip(tails, self.keys, self.cut)), np.uint8)
+            at = (np.cumsum(lengths) - lengths + left)[owner] + s
+            yield self._batch(owner, s, s, T.span_hashes(T.prefix_sums(data), at, at + LENGTH).view(np.int64))
+
+    def _batch(self, owner, a, b, h) -> pa.RecordBatch:
+        """A row for each place of an entry, or with h for one of them."""
+        if h is None:
+            times = np.array([len(self.places[o]) for o in owner.tolist()], np.int64)
+            a, b, places = np.repeat(a, times), np.repeat(b, times), [p for o in owner.tolist() for p in self.places[o]]
+        else:
+            places = [self.places[o][0] for o in owner.tolist()]
+        run, block, entry = zip(*places) if places else ((), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(run, pa.int64()), pa.array(block, pa.int32()), pa.array(entry, pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.nulls(len(places), pa.int64()) if h is None else pa.array(h)], names=["run", "block", "entry", "low", "high", "h"]
+        )
+
+
+def _merged(batches, splitters: list[bytes]):
+    """Merges the runs of each range and decides its entries."""
+    by_range: dict[int, dict[int, list[dict]]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            by_range.setdefault(row["range"], {}).setdefault(row["run"], []).append(row)
+    for r, runs in by_range.items():
+        below, above = splitters[r - 1] if r else b"", splitters[r] if r < len(splitters) else b""
+        entries, chain = Entries(), None
+        for shared, key, (cut, n, *place) in merge_runs([_run_of(p) for p in runs.values()]):
+            chain = common_prefix(below, key) if chain is None else min(chain, shared)
+            if shared < GRAM and len(entries.keys) >= BATCH:
+                yield from entries.decided()
+                entries = Entries()
+            entries.add(shared, key, cut, n, tuple(place), max(chain, common_prefix(above, key)))
+        yield from entries.decided()
+
+
+def _strings(batches):
+    """The bytes of strings asked for, from their blocks."""
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            keys = [k for _, k in front_decode(row["shared"], row["rest"])]
+            for x in row["asked"]:
+                key, cut, s = keys[x["entry"]], row["cut"][x["entry"]], x["low"]
+                rows.append(dict(string=key[cut : cut - s][::-1] + key[: s + LENGTH], run=row["run"], block=row["block"], entry=x["entry"], low=s))
+        yield _rows(rows, dict(string=pa.binary(), run=pa.int64(), block=pa.int32(), entry=pa.int32(), low=pa.int32()))
+
+
+def _placed(batches):
+    """Marks of entries, brought to every occurrence of the entry."""
+    for batch in batches:
+        out = [[], [], [], []]
+        for row in batch.to_pylist():
+            marks: dict[int, list[tuple[int, int]]] = {}
+            for x in row["marks"]:
+                marks.setdefault(x["entry"], []).append((x["low"], x["high"]))
+            for e, doc, text_hash, g in zip(row["entry"], row["doc_id"], row["text_hash"], row["anchor"]):
+                for a, b in marks.get(e, ()):
+                    for o, v in zip(out, (doc, text_hash, g + a, g + b)):
+                        o.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "text_hash", "first", "last"])
 
 
 def _remove(batches):
@@ -360,43 +421,39 @@ def _with_digest(batches):
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, first, last: runs of starts of LENGTH-byte strings that also start elsewhere."""
-    spark, id_type = docs.sparkSession, docs.schema["doc_id"]
-    schema = StructType([id_type, StructField("text_hash", IntegerType()), StructField("least", LongType()), StructField("digest", LongType()), StructField("first", IntegerType()), StructField("last", IntegerType())])
-    found = materialise(docs.select("doc_id", "text").mapInArrow(_scan, schema), "stretches")
-    within = found.filter("least is null").select("doc_id", "text_hash", "first", "last")
-    cut = found.filter("least is not null")
-    shared = cut.groupBy("least").agg(F.count(F.lit(1)).alias("n_"), (F.min("digest") != F.max("digest")).alias("mixed")).filter("n_ > 1").select("least", "mixed")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, "doc_id long, text_hash long, least long, first int, last int, anchor int")
+    found = materialise(found, "stretches")
     # a table of its own, so that Spark can split the side of a string that occurs very often
-    shared = materialise(shared, "shared-minima")
-    cut = materialise(cut.join(shared, "least"), "shared-stretches")
-    whole = cut.groupBy("least", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("mixed").alias("mixed"), F.min(F.struct("doc_id", "text_hash", "first", "last")).alias("one"))
-    whole = materialise(whole, "different-stretches")
-    twice = whole.filter("n > 1").select("least", "digest")
-    entire = cut.join(twice, ["least", "digest"]).select("doc_id", "text_hash", "first", "last")
-    # one of each of the different stretches of a gram, by the text that holds it
-    asked = whole.filter("mixed").select("one.*", "least", "n").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last", "least", "n")).alias("asked"))
-    asked = asked.withColumnsRenamed({"doc_id": "d_", "text_hash": "t_"})
-    held = packed(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("text_hash") == F.col("t_"))).drop("d_", "t_").dropDuplicates(["doc_id", "text_hash"])
-    suffix_schema = StructType([StructField("doc_id", LongType()), StructField("text_hash", IntegerType()), StructField("suffix", BinaryType()), StructField("left", BinaryType()), StructField("first", IntegerType()), StructField("n", LongType())])
-    suffixes = materialise(held.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_cut, suffix_schema), "suffixes")
-    total = suffixes.count()
-    ranges = max(1, min(100_000, total // 20_000))
-    part = F.pmod(F.xxhash64("doc_id", "first"), F.lit(max(1, total // SPLITTER_SAMPLE))) == 0
-    sample = sorted(r[0] for r in suffixes.filter(part).select(F.substring("suffix", 1, GRAM)).limit(2 * SPLITTER_SAMPLE).collect()) if ranges > 1 else []
-    splitters = sorted({bytes(sample[len(sample) * k // ranges]) for k in range(1, ranges)}) if sample else []
-    runs = suffixes.mapInArrow(lambda it: _runs(it, splitters), RUN)
-    inside = materialise(runs.repartition(ranges, "range").mapInArrow(_merged, FOUND), "inside-stretches")
-    partly = inside.filter("string is null").select("doc_id", "text_hash", "first", "last")
-    # groups too large for a task: last holds how often the stretch occurs as a whole
-    large = inside.filter("string is not null")
-    again = large.groupBy("string").agg(F.count(F.lit(1)).alias("c_")).filter("c_ > 1").select("string")
-    partly = partly.unionByName(large.join(again, "string").filter("last = 1").select("doc_id", "text_hash", "first", F.col("first").alias("last")))
-    return within.withColumn("doc_id", F.col("doc_id").cast("long")).unionByName(entire.withColumn("doc_id", F.col("doc_id").cast("long"))).unionByName(partly)
+    shared = materialise(found.groupBy("least").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("least"), "shared-anchors")
+    asked = found.join(shared, "least").groupBy(F.col("doc_id").alias("d_"), F.col("text_hash").alias("t_")).agg(F.collect_list(F.struct("first", "last", "anchor")).alias("asked"))
+    # rows of one doc_id and text have one list between them, with all their occurrences in it
+    held = packed(docs).dropDuplicates(["doc_id", "text_hash"]).join(asked, F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("text_hash") == F.col("t_"))).drop("d_", "t_")
+    blocks = materialise(held.mapInArrow(_runs, BLOCKS), "suffix-runs", "zstd")
+    release(found, shared)
+    total, n_blocks = blocks.agg(F.coalesce(F.sum(F.size("cut")), F.lit(0)), F.count(F.lit(1))).first()
+    ranges = max(1, min(SPLITTER_SAMPLE, total // RANGE))
+    one_of = max(1, n_blocks // SPLITTER_SAMPLE)
+    sample = sorted(bytes(r[0]) for r in blocks.filter(F.pmod(F.xxhash64("run", "block"), F.lit(one_of)) == 0).select("head").limit(2 * SPLITTER_SAMPLE).collect()) if ranges > 1 else []
+    splitters = sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
+    pieces = blocks.select("run", "block", "shared", "rest", "cut", "n").mapInArrow(lambda it: _pieces(it, splitters), PIECES)
+    marks = materialise(pieces.repartitionById(len(splitters) + 1, F.col("range")).mapInArrow(lambda it: _merged(it, splitters), MARKS), "marks")
+    asking = marks.filter("h is not null")
+    twice = asking.groupBy("h").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("h")
+    across = asking.join(materialise(twice, "hashes-across"), "h").groupBy("run", "block").agg(F.collect_list(F.struct("entry", "low")).alias("asked"))
+    strings = blocks.select("run", "block", "shared", "rest", "cut").join(across, ["run", "block"]).mapInArrow(_strings, "string binary, run bigint, block int, entry int, low int")
+    strings = materialise(strings, "strings-across", "zstd")
+    again = materialise(strings.groupBy("string").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("string"), "repeats-across", "zstd")
+    met = strings.join(again, "string").select("run", "block", "entry", "low", F.col("low").alias("high"))
+    every = marks.filter("h is null").drop("h").unionByName(met).groupBy("run", "block").agg(F.collect_list(F.struct("entry", "low", "high")).alias("marks"))
+    spans = blocks.select("run", "block", "entry", "doc_id", "text_hash", "anchor").join(every, ["run", "block"]).mapInArrow(_placed, "doc_id long, text_hash long, first int, last int")
+    out = materialise(spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    release(blocks, marks, strings, again)
+    return out
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    schema = StructType([docs.schema["doc_id"], StructField("text_hash", IntegerType()), StructField("packed", BinaryType())])
-    return docs.select("doc_id", "text").mapInArrow(_pack, schema)
+    """doc_id (long), text_hash, packed: the texts' bytes, compressed."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack, "doc_id long, text_hash long, packed binary")
 
 
 def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
@@ -404,13 +461,16 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
 
     Of docs(doc_id integer, text): null text is empty. Texts below LENGTH bytes lose nothing. Rows that repeat are texts
     that repeat, so all of them lose what they share; rows of one doc_id are told apart by their text. A null doc_id is
-    a doc_id. An empty table gives an empty table. Other columns are ignored.
+    a doc_id. An empty table gives an empty table. Other columns are ignored. A doc_id that isn't an integer is an error.
     """
-    spans = repeated_strings(docs).groupBy(F.col("doc_id").alias("d_"), F.col("text_hash").alias("t_")).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    rows = packed(docs).join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("d_")) & (F.col("text_hash") == F.col("t_")), "left").select("doc_id", "packed", "spans")
+    kind = docs.schema["doc_id"].dataType
+    if kind.typeName() not in ("byte", "short", "integer", "long", "void"):
+        raise TypeError(f"doc_id must be an integer, not {kind.simpleString()}")
+    spans = repeated_strings(docs).withColumnsRenamed({"doc_id": "d_", "text_hash": "t_"})
+    rows = packed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("text_hash") == F.col("t_")), "left").select("doc_id", "packed", "spans")
     last = StructField("kept_sha256", StringType()) if digests else StructField("kept", BinaryType())
-    schema = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), last])
-    return rows.mapInArrow(_with_digest if digests else _remove, schema)
+    schema = StructType([StructField("doc_id", LongType()), *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), last])
+    return rows.mapInArrow(_with_digest if digests else _remove, schema).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 __all__ = ["front_code", "front_decode", "merge_runs", "remove_repeats", "stretches"]
