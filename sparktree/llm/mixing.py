@@ -16,14 +16,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
-from .scratch import materialise
+from .scratch import materialise, without
 
 #: Words, as everywhere in this package: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents a block rounds; a source of any size takes a tree of log(size) / log(BLOCK) levels.
 BLOCK = 64
+#: Two hashes name a row: with one, some of 10**10 rows would share a name, and with it their fate.
+KEY = "struct<one:bigint,two:bigint>"
 #: Up to so many sources, a table with a row for each is broadcast; beyond, it is joined by shuffle.
 FEW = 10_000
 
@@ -65,8 +67,8 @@ def _coin(seed: int, *on: Column) -> Column:
 
 def _fold(items: Column, seed: int, level: int) -> Column:
     """Pairs the items (key, words, part) of a block in turn; gives what was decided and the one that is left."""
-    item = "struct<key:bigint,words:double,part:double>"
-    zero = F.struct(F.lit(None).cast(item).alias("held"), F.array().cast("array<struct<key:bigint,extra:int>>").alias("done"))
+    item = f"struct<key:{KEY},words:double,part:double>"
+    zero = F.struct(F.lit(None).cast(item).alias("held"), F.array().cast(f"array<struct<key:{KEY},extra:int>>").alias("done"))
 
     def step(acc: Column, x: Column) -> Column:
         held = acc["held"]
@@ -91,7 +93,7 @@ def _fold(items: Column, seed: int, level: int) -> Column:
 
 
 def round_copies(parts: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFrame:
-    """key, extra (0 or 1) for every row of parts (group, key long unique, words > 0, 0 < part < 1)."""
+    """key, extra (0 or 1) for every row of parts (group, key unique, words > 0, 0 < part < 1)."""
     spark = parts.sparkSession
     rest = parts.select("group", "key", F.col("words").cast("double"), F.col("part").cast("double"))
     decided: list[DataFrame] = []
@@ -119,24 +121,22 @@ def round_copies(parts: DataFrame, seed: int = 7, block: int = BLOCK) -> DataFra
         rest = rest.filter(~settled)
         level += 1
     if not decided:
-        return spark.createDataFrame([], StructType([StructField("key", LongType()), StructField("extra", LongType())])).selectExpr("key", "cast(extra as int) extra")
+        return spark.createDataFrame([], f"key {KEY}, extra int")
     return reduce(DataFrame.unionAll, decided)
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: one row per row of docs(doc_id, text, source).
-
-    A document gets floor(target / source_size) copies or one more; at most `most` of them. Documents without words
-    (null or empty text) have size 0, no copies and take nothing; a null source is a source, the last in order. Rows
-    that repeat are documents of their own: rows of equal doc_id, source and size are told apart by their number. An
-    empty table gives no rows. Other columns are ignored.
-    """
+def _numbered(docs: DataFrame, *others: str) -> DataFrame:
+    """id, of, size, hash, again: what names a row of docs. again counts the rows that are equal in all the others."""
     from pyspark.sql import Window
 
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    # the rows of one doc_id, which is almost always one row, in a fixed order
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "size"))
-    sizes = materialise(sizes.withColumn("again", again).withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "again")), "mix-sizes")
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("source").alias("of"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"), *others)
+    return rows.withColumn("again", F.row_number().over(Window.partitionBy("id", "of", "size", "hash").orderBy(F.lit(1))))
+
+
+def _plan(docs: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: int) -> DataFrame:
+    name = ("id", "of", "hash", "again")
+    sizes = _numbered(docs).withColumn("key", F.struct(F.xxhash64(F.lit(seed), *name).alias("one"), F.xxhash64(F.lit(~seed), *reversed(name)).alias("two")))
+    sizes = materialise(sizes.withColumnRenamed("of", "source"), "mix-sizes")
     targets = materialise(source_targets(sizes, weights, share, most), "mix-targets")
     t = targets.withColumnRenamed("source", "of")
     whole = sizes.join(F.broadcast(t) if targets.count() <= FEW else t, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
@@ -147,14 +147,30 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), s
     rounded = round_copies(whole.filter("part > 0").select(F.col("source").alias("group"), "key", F.col("size").alias("words"), "part"), seed)
     extra = rounded.groupBy("key").agg(F.max("extra").alias("extra"))
     copies = F.col("base") + F.when(F.col("part") > 0, F.coalesce("extra", F.lit(0))).otherwise(F.lit(0))
-    out = whole.join(extra, "key", "left").withColumn("copies", copies.cast("int"))
-    return out.select("doc_id", "source", "size", "source_size", F.col("target").cast(DoubleType()), "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return whole.join(extra, "key", "left").withColumn("copies", copies.cast("int"))
+
 
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken: one row per row of docs(doc_id, text, source).
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every row of docs as often as it has copies, with copy = 0, 1, ..."""
-    plan = mix_sources(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("copies_")).withColumnRenamed("doc_id", "id_")
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["id_"])).withColumn("copy", F.explode(F.when(F.col("copies_") > 0, F.sequence(F.lit(0), F.col("copies_") - 1)))).drop("copies_", "id_")
+    A document gets floor(target / source_size) copies or one more; at most `most` of them. Documents without words
+    (null or empty text) have size 0, no copies and take nothing; a null source is a source, the last in order. Rows
+    that repeat are documents of their own, told apart by their text or else by their number. An empty table gives no
+    rows. Other columns are ignored.
+    """
+    out = _plan(docs, weights, share, most, seed)
+    return out.select(F.col("id").alias("doc_id"), "source", "size", "source_size", F.col("target").cast(DoubleType()), "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
+    """The mix itself: every row of docs as often as mix_sources says of that row, with copy = 0, 1, ...
+
+    All columns stay but one named copy, which is replaced.
+    """
+    columns = without(docs, "copy")
+    plan = _plan(docs, weights, share, most, seed).filter("copies > 0").select(F.struct("id", F.col("source").alias("of"), "size", "hash", "again").alias("name"), "copies")
+    rows = _numbered(docs, F.struct(*columns).alias("row")).select("row", F.struct("id", "of", "size", "hash", "again").alias("name"))
+    return rows.join(plan, "name").select("row.*", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
 
 
 __all__ = ["mix_sources", "mixed_documents", "round_copies", "source_targets", "word_count"]

@@ -28,15 +28,16 @@ def op3_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has one label of toxicity, whatever its kind. With the label of quality it makes a chain of three: whether
+    the text is junk, whether it is prose that is toxic, and last whether it is toxic, which is the verdict."""
     from pyspark.sql import functions as F
 
     from .toxicity import classify, train_chain
 
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
-    # the table labels one kind of toxicity; with the quality label it makes a chain of three categories
     known = labels.withColumns({"junk": 1 - F.col("quality"), "toxic_prose": F.col("toxic") * F.col("quality")})
-    judged = classify(docs, train_chain(docs, known, ["junk", "toxic", "toxic_prose"]))
-    return judged.select("doc_id", "p_junk", "p_toxic", "p_toxic_prose", F.col("is_toxic").alias("toxic"))
+    judged = classify(docs, train_chain(docs, known, ["junk", "toxic_prose", "toxic"]))
+    return judged.select("doc_id", "p_junk", "p_toxic_prose", "p_toxic", F.col("is_toxic").alias("toxic"))
 
 
 def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,15 +147,18 @@ def _predict(batches, passed: list[str], names: list[str], chain):
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], most_labelled: int = 12_000, folds: int = 5) -> Chain:
-    """A chain over label columns, from at most most_labelled labelled documents (those of least hash)."""
+    """A chain over label columns, from at most most_labelled labelled documents (those of least hash).
+
+    Of rows that repeat a doc_id, those of one text count once and of several texts one, the same on each run.
+    """
     known = labels
     for c in categories:
         known = known.filter(F.col(c).isNotNull())
     packed = sum((F.col(c).cast("int") * (1 << k) for k, c in enumerate(categories)), F.lit(0))
     sample = labelled_sample(known.select("doc_id", packed.alias("packed")), "packed", most_labelled)
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id_")).select("id_", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id_")).select("id_", "text")
     id_type = rows.schema["id_"]
-    found = rows.mapInArrow(_features, StructType([id_type, StructField("buckets", _ints())])).groupBy("id_").agg(F.first("buckets").alias("buckets"))
+    found = rows.mapInArrow(_features, StructType([id_type, StructField("buckets", _ints())])).groupBy("id_").agg(F.min("buckets").alias("buckets"))
     table = found.join(F.broadcast(sample), "id_").toPandas().sort_values("id_")  # bounded by most_labelled
     sizes = table["buckets"].map(len).to_numpy() if len(table) else np.zeros(0, np.int64)
     bucket = np.concatenate([*table["buckets"], np.zeros(0, np.int64)]).astype(np.int64)

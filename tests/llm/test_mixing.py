@@ -51,10 +51,26 @@ def test_sums_meet_targets_and_reruns_agree(spark):
 
 
 def test_expectation_is_the_fraction(spark):
-    d = docs(spark, [(k, words(10), "a" if k < 300 else "b", 0) for k in range(600)])
-    # half of the words to each, weights 3 and 1: a is capped at 2, b takes one copy
-    got = mix_sources(d).groupBy("source").agg(F.avg("copies").alias("c")).collect()
-    assert {r["source"]: r["c"] for r in got} == pytest.approx({"a": 2.0, "b": 1.0})
+    # weights 3, 1, 2 share 1.5 times 900 x 10 words: a stops at 2 copies, b and c share the rest
+    d = docs(spark, [(k, words(10), "abc"[k % 3], 0) for k in range(900)])
+    assert {r["source"]: r["target"] / r["source_size"] for r in source_targets(mix_sources(d)).collect()} == pytest.approx({"a": 2.0, "b": 5 / 6, "c": 5 / 3})
+    runs = [mix_sources(d, seed=s).select("doc_id", "source", "copies").toPandas() for s in range(6)]
+    for got in runs:
+        assert got.groupby("source")["copies"].mean().to_dict() == pytest.approx({"a": 2.0, "b": 5 / 6, "c": 5 / 3}, abs=0.004)
+    taken = sum(r[r["source"] == "b"].set_index("doc_id")["copies"].sort_index() for r in runs)
+    # six coins for each document, not the same documents each time
+    assert abs((taken == 6).mean() - (5 / 6) ** 6) < 0.1 and abs((taken == 5).mean() - (5 / 6) ** 5) < 0.1
+
+
+def test_fractions_of_documents_of_any_size(spark):
+    d = docs(spark, [(k, words(1 + k % 29), "ab"[k % 2], 0) for k in range(800)])
+    seen = sum(mix_sources(d, share=0.8, seed=s).select("doc_id", "copies").toPandas().set_index("doc_id")["copies"].sort_index() for s in range(8)) / 8
+    target = {r["source"]: r["target"] / r["source_size"] for r in mix_sources(d, share=0.8).select("source", "target", "source_size").distinct().collect()}
+    assert any(0.05 < x % 1 < 0.95 for x in target.values())
+    for k, x in enumerate(target[s] for s in "ab"):
+        part = seen[seen.index % 2 == k]
+        for size in (part[part.index % 29 < 10], part[part.index % 29 >= 10]):
+            assert abs(size.mean() - x) < 0.06
 
 
 def test_odd_rows(spark):
@@ -73,3 +89,14 @@ def test_mixed_documents(spark):
     got = mixed_documents(d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("copy").alias("last")).collect()
     assert {r["doc_id"]: r["n"] for r in got} == {k: v for k, v in plan.items() if v}
     assert all(r["last"] == r["n"] - 1 for r in got)
+
+
+def test_rows_of_one_doc_id_are_mixed_as_planned(spark):
+    rows = [(k // 7, words(1 + k % 11), "abc"[k % 3], k) for k in range(300)] + [(None, words(4), "a", 0)] * 20
+    d = docs(spark, rows).withColumns({"id_": F.lit(1), "copies_": F.lit(2), "hash": F.lit(3), "again": F.lit(4), "row": F.lit(5), "name": F.lit(6), "copies": F.lit(7), "key": F.lit(8)})
+    plan, got = mix_sources(d).toPandas(), mixed_documents(d)
+    assert got.columns == [*d.columns, "copy"]
+    got = got.withColumn("n", F.size(F.split("text", " "))).toPandas()
+    assert len(got) == plan["copies"].sum() and (got["hash"] == 3).all() and (got["id_"] == 1).all()
+    want = plan[plan["copies"] > 0].groupby(["doc_id", "source", "size"], dropna=False)["copies"].sum().sort_index()
+    assert want.tolist() == got.groupby(["doc_id", "source", "n"], dropna=False).size().sort_index().tolist()
