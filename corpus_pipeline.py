@@ -2,8 +2,8 @@
 passages, mixed to target weights.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-one's docs. All but the last return the columns of documents. No stage can be said in SQL as a whole (hashed models,
-signatures, random rounding), so the pipeline is tested against brute force.
+one's docs. All but the last return the columns of documents. SQL can't say the first and the last stage (hashed models, random
+rounding), so each stage is tested against plain Python on its own input, the first by its labelled documents.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from sparktree.llm.importance import resample
 from sparktree.llm.linedupe import dedup_lines
 from sparktree.llm.mixing import mixed_documents
 from sparktree.llm.neardup import without_near_duplicates
-from sparktree.llm.scratch import materialise
+from sparktree.llm.scratch import materialise, release
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -64,5 +64,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), "zstd")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), "zstd")
+        release(before)
     return docs
