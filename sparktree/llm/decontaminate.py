@@ -48,16 +48,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, few_seeds: int = FEW_SEE
     words = F.broadcast(words) if n_items <= few_items and n_words <= few_seeds else words
     seeds = _seeds(docs.select("doc_id", word_hashes(F.col("text")).alias("h")), "dpos").select("doc_id", "dpos", "seed")
     hits = seeds.join(ours, "seed").select("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("diagonal")).distinct()
-    # to verify, texts with hits are cut into words again, each once: arrays of words never multiply by hits
-    asked = hits.join(words, F.col("item_id").eqNullSafe(F.col("i_"))).groupBy(F.col("doc_id").alias("d_")).agg(F.collect_list(F.struct("item_id", "diagonal", "ih")).alias("hits"))
+    # to verify, texts with hits are cut into words again, each once, and an item's words come once with all its diagonals:
+    # arrays of words never multiply by hits
+    lying = hits.groupBy("doc_id", "item_id").agg(F.collect_list("diagonal").alias("diagonals"))
+    asked = lying.join(words, F.col("item_id").eqNullSafe(F.col("i_"))).groupBy(F.col("doc_id").alias("d_")).agg(F.collect_list(F.struct("item_id", "diagonals", "ih")).alias("hits"))
     found = docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("d_"))).select("doc_id", "hits", word_hashes(F.col("text")).alias("h"))
-    found = found.select("doc_id", F.explode(F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), _best(x, F.col("h")).cast("long").alias("matched")))).alias("f"))
+    found = found.select("doc_id", F.explode(F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), F.array_max(F.transform(x["diagonals"], lambda d: _best(x["ih"], d, F.col("h")))).cast("long").alias("matched")))).alias("f"))
     return found.select("doc_id", "f.*").filter(F.col("matched") >= MATCHED).groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 
-def _best(hit: Column, h: Column) -> Column:
-    """The largest number of equal words in STRETCH successive positions of a hit's diagonal."""
-    equal = F.transform(hit["ih"], lambda w, i: F.coalesce((F.get(h, hit["diagonal"] + i) == w).cast("int"), F.lit(0)))
+def _best(ih: Column, diagonal: Column, h: Column) -> Column:
+    """The largest number of equal words in STRETCH successive positions of a diagonal."""
+    equal = F.transform(ih, lambda w, i: F.coalesce((F.get(h, diagonal + i) == w).cast("int"), F.lit(0)))
     return F.aggregate(
         equal,
         F.struct(F.array_repeat(F.lit(0), STRETCH).alias("last"), F.lit(0).alias("sum"), F.lit(0).alias("best")),

@@ -32,7 +32,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from . import textkit as T
 from .components import components
-from .scratch import materialise
+from .scratch import materialise, release
 
 WORDS = 5
 BANDS, ROWS = 24, 5
@@ -238,8 +238,8 @@ def _links_across(batches, least: float):
         yield links(pa.Table.from_batches(held))
 
 
-def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Links that join components which still share a bucket. buckets: bucket, node; sets: node, elements."""
+def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least: float, made: list[DataFrame]) -> DataFrame:
+    """Links that join components which still share a bucket. buckets: bucket, node; sets: node, elements; made: gets the tables it reads."""
     now = buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     by = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = by.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"), F.max("n").alias("n_largest"), F.max_by("root", F.struct("n", "root")).alias("largest")).filter("k > 1")
@@ -248,6 +248,7 @@ def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least:
     nodes = rows.groupBy("node").agg(F.max("outside").alias("outside"))
     listed = nodes.join(sets.hint("merge"), "node").mapInArrow(_listed, "node long, outside boolean, size long, element long")
     listed = materialise(listed, "mixed-elements")
+    made += [rows, listed]
     repeated = listed.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("element")
     able = listed.filter("outside").join(repeated.hint("merge"), "element").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).filter(F.col("n") >= least * F.col("size") - 1e-9).select("node", F.lit(True).alias("able"))
     rows = rows.join(able, "node", "left").filter("able or not outside").withColumn("outside", F.col("outside") & F.col("able").isNotNull())
@@ -305,9 +306,12 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     tied = members.join(several, "doc_id", "left_semi")
     links = materialise(links.unionByName(tied.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))), "near-links")
     roots = materialise(components(links), "roots")
-    more = materialise(_links_between(buckets.select("bucket", "node"), roots, sets, least), "near-links")
+    made: list[DataFrame] = []
+    more = materialise(_links_between(buckets.select("bucket", "node"), roots, sets, least, made), "near-links")
     if not more.isEmpty():
-        roots = materialise(components(links.unionByName(more)), "roots")
+        last, roots = roots, materialise(components(links.unionByName(more)), "roots")
+        release(last)
+    release(distinct, shared, buckets, sets, hub, links, more, *made)
     classes = members.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     alone = prints.filter("n = 0 or doc_id is null").select("doc_id").distinct().join(members.select(F.col("doc_id").alias("m_")).distinct(), F.col("doc_id") == F.col("m_"), "left_anti")
     return classes.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id")))
