@@ -23,6 +23,16 @@ def _curve(x: np.ndarray, y: np.ndarray, levels: int = 8) -> np.ndarray:
     return np.lexsort((along, strip))
 
 
+def _filled(seed: np.ndarray) -> np.ndarray:
+    """Empty cells (-1) get the value before them in their row, or else after them; empty rows that of a row beside them."""
+    for _ in range(2):
+        for _ in range(2):
+            last = np.maximum.accumulate(np.where(seed >= 0, np.arange(seed.shape[1]), -1), axis=1)
+            seed = np.where(last >= 0, np.take_along_axis(seed, np.maximum(last, 0), 1), -1)[:, ::-1]
+        seed = seed.T
+    return seed
+
+
 class Delaunay:
     """Triangles of distinct points, by insertion: a walk finds the triangle, and those whose circle holds the point are replaced.
 
@@ -112,10 +122,11 @@ class Delaunay:
             w = max(np.ptp(self.px[: self.n]), 1e-9), max(np.ptp(self.py[: self.n]), 1e-9)
             real = np.flatnonzero(self.real)
             if len(real):
-                seed = np.full(k * k, real[0])
-                v = self.tri[real, 0]
-                seed[cell(self.px[v], self.py[v])] = real
-                t = seed[cell(x, y)]
+                seed = np.full(k * k, -1)
+                for corner in range(3):
+                    v = self.tri[real, corner]
+                    seed[cell(self.px[v], self.py[v])] = real
+                t = _filled(seed.reshape(k, k)).ravel()[cell(x, y)]
         on = np.arange(len(x))
         for _ in range(len(self.tri) + 10):
             if not len(on):
@@ -135,43 +146,74 @@ class Delaunay:
         return np.max([np.hypot(ux[:, k] - ux[:, k - 1], uy[:, k] - uy[:, k - 1]) for k in range(3)], axis=0)
 
 
-def interpolate(px, py, pz, x, y, max_edge: float = 0.0, k: int = 3, power: float = 1.0, furthest: float = 50.0, extrapolate: bool = True) -> np.ndarray:
-    """Heights at (x, y): linear in the triangle around; outside all, the mean of the k nearest by inverse distance, if
-    extrapolate, up to `furthest`; else NaN. With max_edge, triangles of a longer edge count as missing."""
-    px, py, pz = unique_places(np.asarray(px, float), np.asarray(py, float), np.asarray(pz, float))
-    x, y = np.asarray(x, float), np.asarray(y, float)
-    out = np.full(len(x), np.nan)
-    if not len(px) or not len(x):
+def nearest_mean(px, py, pz, x, y, k: int = 3, power: float = 1.0, furthest: float = 50.0, tiles: int = 24) -> np.ndarray:
+    """The mean of the k nearest points by inverse distance, of those within `furthest`; else NaN.
+
+    Places are taken by tiles. If the k-th nearest point of a tile's centre is d away, no place of the tile has its k nearest
+    further than d and the tile's diagonal from the centre, so only those are looked at, a bounded block of places at a time.
+    """
+    out, m = np.full(len(x), np.nan), min(k, len(px))
+    if not m or not len(x):
         return out
-    if len(px) >= 3:
-        d = Delaunay(px, py)
-        t = d.locate(x, y)
-        use = d.real & ((d.longest_edges() <= max_edge) if max_edge else True)
-        inside = use[t]
-        v = d.tri[t[inside]]
-        ax, ay = d.px[v], d.py[v]
-        qx, qy = x[inside] - d.x0, y[inside] - d.y0
-        area = (ax[:, 1] - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (ay[:, 1] - ay[:, 0])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            b = ((qx - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (qy - ay[:, 0])) / area
-            c = ((ax[:, 1] - ax[:, 0]) * (qy - ay[:, 0]) - (qx - ax[:, 0]) * (ay[:, 1] - ay[:, 0])) / area
-            z = pz[v]
-            out[inside] = z[:, 0] * (1 - b - c) + z[:, 1] * b + z[:, 2] * c
-    if extrapolate:
-        todo = np.flatnonzero(np.isnan(out))
-        for s in range(0, len(todo), 2048):
-            i = todo[s : s + 2048]
-            d2 = (x[i][:, None] - px) ** 2 + (y[i][:, None] - py) ** 2
-            m = min(k, len(px))
+    edge = max(np.ptp(x), np.ptp(y), 1e-9) / tiles
+    col, row = np.floor((x - x.min()) / edge).astype(int), np.floor((y - y.min()) / edge).astype(int)
+    order = np.lexsort((col, row))
+    starts = np.flatnonzero(np.r_[True, (np.diff(col[order]) != 0) | (np.diff(row[order]) != 0)])
+    for at in np.split(order, starts[1:]):
+        qx, qy = x.min() + (col[at[0]] + 0.5) * edge, y.min() + (row[at[0]] + 0.5) * edge
+        d = np.hypot(px - qx, py - qy)
+        by = np.flatnonzero(d <= np.partition(d, m - 1)[m - 1] + 1.5 * edge)
+        step = max(1, 4_000_000 // len(by))
+        for s in range(0, len(at), step):
+            i = at[s : s + step]
+            d2 = (x[i][:, None] - px[by]) ** 2 + (y[i][:, None] - py[by]) ** 2
             near = np.argpartition(d2, m - 1, axis=1)[:, :m]
             dist = np.sqrt(np.take_along_axis(d2, near, 1))
             w = np.where(dist <= furthest, 1 / np.maximum(dist, 1e-9) ** power, 0)
             total = w.sum(1)
             with np.errstate(invalid="ignore"):
-                out[i] = np.where(total > 0, (w * pz[near]).sum(1) / total, np.nan)
+                out[i] = np.where(total > 0, (w * pz[by[near]]).sum(1) / total, np.nan)
     return out
 
 
+class Surface:
+    """The triangulated surface of points, of which the highest of each place counts; it can be asked more than once."""
+
+    def __init__(self, px, py, pz):
+        self.px, self.py, self.pz = unique_places(np.asarray(px, float), np.asarray(py, float), np.asarray(pz, float))
+        self.net = Delaunay(self.px, self.py) if len(self.px) >= 3 else None
+
+    def at(self, x, y, max_edge: float = 0.0, k: int = 3, power: float = 1.0, furthest: float = 50.0, extrapolate: bool = True) -> np.ndarray:
+        """Heights at (x, y): linear in the triangle around; outside all, the mean of the k nearest by inverse distance, if
+        extrapolate, up to `furthest`; else NaN. With max_edge, triangles of a longer edge count as missing."""
+        x, y = np.asarray(x, float), np.asarray(y, float)
+        out = np.full(len(x), np.nan)
+        if not len(self.px) or not len(x):
+            return out
+        if d := self.net:
+            t = d.locate(x, y)
+            use = d.real & ((d.longest_edges() <= max_edge) if max_edge else True)
+            inside = use[t]
+            v = d.tri[t[inside]]
+            ax, ay = d.px[v], d.py[v]
+            qx, qy = x[inside] - d.x0, y[inside] - d.y0
+            area = (ax[:, 1] - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (ay[:, 1] - ay[:, 0])
+            with np.errstate(divide="ignore", invalid="ignore"):
+                b = ((qx - ax[:, 0]) * (ay[:, 2] - ay[:, 0]) - (ax[:, 2] - ax[:, 0]) * (qy - ay[:, 0])) / area
+                c = ((ax[:, 1] - ax[:, 0]) * (qy - ay[:, 0]) - (qx - ax[:, 0]) * (ay[:, 1] - ay[:, 0])) / area
+                z = self.pz[v]
+                out[inside] = z[:, 0] * (1 - b - c) + z[:, 1] * b + z[:, 2] * c
+        if extrapolate:
+            todo = np.flatnonzero(np.isnan(out))
+            out[todo] = nearest_mean(self.px, self.py, self.pz, x[todo], y[todo], k, power, furthest)
+        return out
+
+
+def interpolate(px, py, pz, x, y, **how) -> np.ndarray:
+    """Heights of the points' triangulated surface at (x, y), as in Surface.at."""
+    return Surface(px, py, pz).at(x, y, **how)
+
+
 def hull_area(x, y) -> float:
     """Area of the convex hull, 0 below three points that aren't on a line."""
     p = sorted(set(zip(map(float, x), map(float, y))))

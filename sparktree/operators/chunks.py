@@ -21,10 +21,11 @@ RESULT = "product string, col bigint, row bigint, value double, point_id bigint,
 COLUMNS = [f.split()[0] for f in RESULT.split(", ")]
 
 
-def apply_chunks(points: DataFrame, fn: Callable[[tuple[int, int], pd.DataFrame], pd.DataFrame], schema: str, size: float = 100.0, buffer: float = 10.0) -> DataFrame:
+def apply_chunks(points: DataFrame, fn: Callable[[tuple[int, int], pd.DataFrame], pd.DataFrame], schema: str, size: float = 100.0, buffer: float = 10.0, done: DataFrame | None = None) -> DataFrame:
     """fn((chunk_x, chunk_y), points of the chunk with is_core) for each chunk that has a core point, in parallel.
 
-    A group is a chunk with its halo; its size is bounded by the chunk's area and the cloud's density.
+    A group is a chunk with its halo; its size is bounded by the chunk's area and the cloud's density. The chunks of
+    done (chunk_x, chunk_y) are left out before their points are dealt to groups, so nothing is computed for them.
     """
 
     def run(key, held):
@@ -32,7 +33,21 @@ def apply_chunks(points: DataFrame, fn: Callable[[tuple[int, int], pd.DataFrame]
             return pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
         return fn((int(key[0]), int(key[1])), held)
 
-    return with_halo(points, size, buffer).groupBy("chunk_x", "chunk_y").applyInPandas(run, schema)
+    dealt = with_halo(points, size, buffer)
+    if done is not None:
+        dealt = dealt.join(done.select("chunk_x", "chunk_y").distinct(), ["chunk_x", "chunk_y"], "left_anti")
+    return dealt.groupBy("chunk_x", "chunk_y").applyInPandas(run, schema)
+
+
+def _attributes(points: DataFrame) -> DataFrame:
+    """What chunks need of a cloud; a cloud may lack classes or return numbers, which are then null."""
+    has = {c.lower() for c in points.columns}
+    kinds = {"cls": "int", "return_number": "int"}
+    return points.select("point_id", "xi", "yi", "x", "y", "z", *((F.col(c) if c in has else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()))
+
+
+#: Classes of the ground for heights above it: ground, and water, which terrain is made without.
+GROUND, LEVEL = 2, (2, 9)
 
 
 def lattice(xmin: float, ymin: float, xmax: float, ymax: float, cm: int) -> tuple[int, int, int, int]:
@@ -61,6 +76,20 @@ def _cells(product: str, grid: np.ndarray, c0: int, r0: int, core: tuple[int, in
     return pd.DataFrame({"product": product, "col": c[own], "row": r[own], "value": grid[rows[own], cols[own]]})
 
 
+def _gaps(grid: np.ndarray, empty: np.ndarray, cx: np.ndarray, cy: np.ndarray, fill: dict) -> np.ndarray:
+    """Values of a raster's empty cells from the triangulated surface of the others.
+
+    A triangle that covers an empty cell has only corners beside empty cells: a cell whose eight neighbours are there is a
+    corner of no triangle but those with them. So cells without an empty neighbour are left out.
+    """
+    near = np.zeros(np.add(empty.shape, 2), bool)
+    for dr in range(3):
+        for dc in range(3):
+            near[dr : dr + empty.shape[0], dc : dc + empty.shape[1]] |= empty
+    use = near[1:-1, 1:-1] & ~empty
+    return tin.interpolate(cx[use], cy[use], grid[use], cx[empty], cy[empty], **fill)
+
+
 def process_chunk(key: tuple[int, int], held: pd.DataFrame, cfg: PipelineConfig, only: tuple[str, ...] | None = None) -> pd.DataFrame:
     """Terrain, surface, canopy, treetops, crowns and trees of one chunk; every early end leaves a status row."""
     cm, res = round(cfg.resolution * 100), cfg.resolution
@@ -82,10 +111,11 @@ def process_chunk(key: tuple[int, int], held: pd.DataFrame, cfg: PipelineConfig,
     p = held.sort_values("point_id", kind="stable").reset_index(drop=True)
     x, y, z = (p[c].to_numpy(float) for c in "xyz")
     cls = p["cls"].fillna(-1).to_numpy()
-    ground = cls == 2
-    dtm = slope = aspect = None
+    ground, level = cls == GROUND, np.isin(cls, LEVEL)
+    dtm = slope = aspect = surface = None
     if ground.any():
-        dtm = tin.interpolate(x[ground], y[ground], z[ground], cx, cy, **fill).reshape(shape)
+        surface = tin.Surface(x[ground], y[ground], z[ground])
+        dtm = surface.at(cx, cy, **fill).reshape(shape)
         slope, aspect = _horn(dtm, res)
         out += [_cells("dtm", dtm, c0, r0, core), _cells("slope", slope, c0, r0, core), _cells("aspect", aspect, c0, r0, core)]
     # highest return of each cell; empty cells from the surface of the others
@@ -96,15 +126,18 @@ def process_chunk(key: tuple[int, int], held: pd.DataFrame, cfg: PipelineConfig,
     dsm[np.isinf(dsm)] = np.nan
     empty = np.isnan(dsm)
     if empty.any() and not empty.all():
-        f = ~empty.ravel()
-        dsm[empty] = tin.interpolate(cx[f], cy[f], dsm.ravel()[f], cx[~f], cy[~f], **fill)
+        dsm[empty] = _gaps(dsm, empty, cx.reshape(shape), cy.reshape(shape), fill)
     out.append(_cells("dsm", dsm, c0, r0, core))
-    if not ground.any():
+    if not level.any():
         return done("normalize", "no ground points")
-    height = z - tin.interpolate(x[ground], y[ground], z[ground], x, y, **fill)
-    use = (cls != 2) & (cls != -1) & (height >= 0) & (height <= cfg.hmax)
-    chm = canopy.pit_free(x[use], y[use], height[use], cx, cy, res, cfg.hmax, cfg.canopy_levels, cfg.subcircle, cfg.max_edge).reshape(shape)
-    if np.isnan(chm).all():
+    if surface is None or level.sum() > ground.sum():
+        surface = tin.Surface(x[level], y[level], z[level])
+    height = z - surface.at(x, y, **fill)
+    use = (cls != GROUND) & (cls != -1) & (height >= 0) & (height <= cfg.hmax)
+    # the canopy is that of first returns; a cloud without return numbers has none to leave out
+    top = use & (p["return_number"].fillna(1).to_numpy() == 1) if "return_number" in p else use
+    chm = canopy.pit_free(x[top], y[top], height[top], cx, cy, res, cfg.hmax, cfg.canopy_levels, cfg.subcircle, cfg.max_edge).reshape(shape)
+    if np.isnan(chm).all() and dtm is not None:
         chm = np.where(dsm - dtm >= 0, dsm - dtm, np.nan)
     out.append(_cells("chm", chm, c0, r0, core))
     inner = np.zeros(shape, bool)
@@ -140,25 +173,24 @@ def process_chunk(key: tuple[int, int], held: pd.DataFrame, cfg: PipelineConfig,
     return done("done", "")
 
 
-def chunk_products(points: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
-    """The tagged union of all chunks' products of points(point_id, xi, yi, x, y, z, cls), columns as in RESULT."""
+def chunk_products(points: DataFrame, cfg: PipelineConfig | None = None, done: DataFrame | None = None) -> DataFrame:
+    """The tagged union of all chunks' products of points(point_id, xi, yi, x, y, z and, if it has them, cls, return_number), columns as in RESULT."""
     cfg = cfg or PipelineConfig()
-    use = points.select("point_id", "xi", "yi", "x", "y", "z", "cls")
-    return apply_chunks(use, lambda key, held: process_chunk(key, held, cfg), RESULT, cfg.chunk_size, cfg.halo())
+    return apply_chunks(_attributes(points), lambda key, held: process_chunk(key, held, cfg), RESULT, cfg.chunk_size, cfg.halo(), done)
 
 
 def interpolated_ground(points: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """The points with ground, the height of the ground's triangulated surface, and height above it, from chunks with halo."""
 
     def run(key, held):
-        g = held[held["cls"] == 2]
+        g = held[held["cls"].isin(LEVEL)]
         core = held[held["is_core"]]
         h = tin.interpolate(g["x"], g["y"], g["z"], core["x"], core["y"], k=cfg.idw_k, power=cfg.idw_power, furthest=cfg.idw_max)
         ground = pd.Series(h, dtype=object).where(~np.isnan(h), None)
         above = core["z"].to_numpy(float) - h
         return pd.DataFrame({"point_id": core["point_id"].to_numpy(), "x": core["x"].to_numpy(), "y": core["y"].to_numpy(), "z": core["z"].to_numpy(), "cls": core["cls"].to_numpy(), "ground": ground.to_numpy(), "height": pd.Series(above, dtype=object).where(~np.isnan(above), None).to_numpy()})
 
-    return apply_chunks(points.select("point_id", "xi", "yi", "x", "y", "z", "cls"), run, "point_id bigint, x double, y double, z double, cls int, ground double, height double", cfg.chunk_size, cfg.chunk_buffer)
+    return apply_chunks(_attributes(points).drop("return_number"), run, "point_id bigint, x double, y double, z double, cls int, ground double, height double", cfg.chunk_size, cfg.chunk_buffer)
 
 
 def rasterized_crowns(chm: DataFrame, grid: GridSpec, cfg: PipelineConfig, size: float = 100.0) -> DataFrame:

@@ -11,9 +11,9 @@ from ..functions.grid import chunk_of
 GROUND = 2
 
 
-def deduplicated(points: DataFrame, key: tuple[str, ...] = ("xi", "yi", "z"), order: tuple[str, ...] = ("point_id", "cls")) -> DataFrame:
+def deduplicated(points: DataFrame, key: tuple[str, ...] = ("x", "y", "z"), order: tuple[str, ...] = ("point_id", "cls")) -> DataFrame:
     """One point of each place, the first by `order`: which of copies that differ stays doesn't depend on tasks."""
-    first = Window.partitionBy(*key).orderBy(*order)
+    first = Window.partitionBy(*key).orderBy(*(c for c in order if c in points.columns))
     return points.withColumn("rn_", F.row_number().over(first)).filter("rn_ = 1").drop("rn_")
 
 
@@ -50,13 +50,8 @@ def all_finite(rows: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
-def sample_window(points: DataFrame, size: float = 100.0, seed: int = 1, attempts: int = 20) -> DataFrame:
-    """The points of one random window that isn't empty: the windows that hold points, in an order by hash, are tried in turn.
-
-    Only windows with points are listed, so the first one is never empty; `attempts` bounds how many are considered.
-    """
-    if attempts < 1:
-        raise ValueError("no attempt left to find a window with points")
+def sample_window(points: DataFrame, size: float = 100.0, seed: int = 1) -> DataFrame:
+    """The points of one random window: the first, in an order by hash, of those that hold points, so no attempt is in vain."""
     windows = points.select(chunk_of(F.col("xi"), size).alias("wx"), chunk_of(F.col("yi"), size).alias("wy")).distinct()
     chosen = windows.orderBy(F.xxhash64(F.lit(seed), "wx", "wy"), "wx", "wy").limit(1)
     held = points.withColumns({"wx": chunk_of(F.col("xi"), size), "wy": chunk_of(F.col("yi"), size)})
@@ -68,7 +63,7 @@ def checked(points: DataFrame) -> DataFrame:
     return points.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()).alias("n_null"),
-        (F.count(F.lit(1)) - F.count_distinct("xi", "yi", "z")).alias("n_duplicates"),
+        (F.count(F.lit(1)) - F.count_distinct("x", "y", "z")).alias("n_duplicates"),
         F.count_if(F.col("cls") == GROUND).alias("n_ground"),
         F.count_if(F.col("cls").isNull()).alias("n_unclassified"),
         F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"),

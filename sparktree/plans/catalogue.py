@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -627,23 +628,59 @@ def ground_at_ground_points(spark, d):
     return g.join(out, ["x", "y"]).select("point_id", "ground")
 
 
-@query()
+#: How far from the cloud's edge a place surely has ground points all around, within its chunk and halo. There the surface of the
+#: stand-in's ground is its plane; nearer the edge it is a mean of the nearest points, which stays between the least and the greatest.
+EDGE = 40
+#: A halo as wide as that of a cloud with few ground points has to be, so that a core's corners have some around them.
+HALO = 25.0
+
+
+def _inner(x: str, y: str) -> str:
+    return f"{x} BETWEEN {EDGE} AND {400 - EDGE} AND {y} BETWEEN {EDGE} AND {400 - EDGE}"
+
+
+def _bounded(value, of: DataFrame, column: str):
+    """Whether a value lies between the least and the greatest of a column, to a millimetre."""
+    box = of.agg(F.min(column).alias("least_"), F.max(column).alias("most_"))
+    return box, F.col(value).between(F.col("least_") - 0.001, F.col("most_") + 0.001)
+
+
+@query(f"""{WITH_POINTS} SELECT point_id, CASE WHEN {_inner("x", "y")} THEN round(g, 6) END AS ground, CASE WHEN {_inner("x", "y")} THEN round(z - g, 6) END AS height, TRUE AS bounded FROM points""")
 def normalize_height(spark, d):
-    return chunks.interpolated_ground(V.points(spark, d), PipelineConfig()).select("point_id", F.round("ground", 6).alias("ground"), F.round("height", 6).alias("height"))
+    p = V.points(spark, d)
+    box, bounded = _bounded("ground", P.ground(p), "g")
+    out = chunks.interpolated_ground(p, PipelineConfig(chunk_buffer=HALO)).crossJoin(F.broadcast(box))  # one row
+    inner = F.expr(_inner("x", "y"))
+    return out.select("point_id", F.when(inner, F.round("ground", 6)).alias("ground"), F.when(inner, F.round("height", 6)).alias("height"), bounded.alias("bounded"))
 
 
-def _products(spark, d):
-    return pipeline.catalog_pipeline(V.points(spark, d), COARSE)
+def _products(spark, d, cfg=COARSE):
+    return pipeline.catalog_pipeline(V.points(spark, d), cfg)
 
 
-@query()
+#: All cells of the coarse lattice: the cloud covers 400 m by 400 m.
+CELLS = "cells AS (SELECT a.k AS col, b.k AS row, CAST(a.k * 5 AS DOUBLE) + 2.5 AS x, CAST(b.k * 5 AS DOUBLE) + 2.5 AS y FROM (SELECT unnest(range(80)) AS k) a, (SELECT unnest(range(80)) AS k) b)"
+
+
+@query(f"""WITH {CELLS} SELECT col, row, CASE WHEN {_inner("x", "y")} THEN round(100 + x / 10 + y / 20, 6) END AS value, TRUE AS bounded FROM cells""")
 def dtm_tin(spark, d):
-    return rounded(pipeline.rasters(_products(spark, d), "dtm"), "value")
+    """The terrain at every cell: inside the cloud it is the plane that the ground points were made on."""
+    box, bounded = _bounded("value", P.ground(V.points(spark, d)), "g")
+    out = pipeline.rasters(_products(spark, d, replace(COARSE, chunk_buffer=HALO)), "dtm").crossJoin(F.broadcast(box))
+    x, y = F.col("col") * 5 + 2.5, F.col("row") * 5 + 2.5
+    inner = x.between(EDGE, 400 - EDGE) & y.between(EDGE, 400 - EDGE)
+    return out.select("col", "row", F.when(inner, F.round("value", 6)).alias("value"), bounded.alias("bounded"))
 
 
-@query()
+@query(f"""{WITH_POINTS}, {CELLS}, s AS (SELECT {_cell(500)}, max(z) AS value FROM points GROUP BY 1, 2)
+SELECT cells.col, cells.row, round(s.value, 6) AS value, TRUE AS bounded FROM cells LEFT JOIN s ON s.col = cells.col AND s.row = cells.row""")
 def dsm_fill(spark, d):
-    return rounded(pipeline.rasters(_products(spark, d), "dsm"), "value")
+    """The surface at every cell: that of its highest return, and where it has none, a value between the others'."""
+    p = V.points(spark, d)
+    box, bounded = _bounded("value", p, "z")
+    seen = with_cells(p, G5).groupBy("col", "row").agg(F.lit(True).alias("seen"))
+    out = pipeline.rasters(_products(spark, d), "dsm").crossJoin(F.broadcast(box)).join(seen, ["col", "row"], "left")
+    return out.select("col", "row", F.when(F.col("seen"), F.round("value", 6)).alias("value"), bounded.alias("bounded"))
 
 
 @query()
@@ -656,7 +693,10 @@ def catalog_pipeline(spark, d):
     return pipeline.inventory(_products(spark, d), COARSE)
 
 
-@query()
+@query(f"""{WITH_POINTS}, c AS (SELECT CAST(floor(xi / 10000) AS BIGINT) AS chunk_x, CAST(floor(yi / 10000) AS BIGINT) AS chunk_y,
+  count(*) FILTER (WHERE cls = 2) AS n_ground, max(h) FILTER (WHERE cls <> 2 AND h BETWEEN 0 AND 30) AS highest FROM points GROUP BY 1, 2)
+SELECT chunk_x, chunk_y, CASE WHEN n_ground = 0 THEN 'normalize' WHEN coalesce(highest, 0) < 2 THEN 'gate' ELSE 'done' END AS stage,
+  CASE WHEN n_ground = 0 THEN 'no ground points' WHEN coalesce(highest, 0) < 2 THEN 'canopy below hmin' ELSE '' END AS reason FROM c""")
 def chunk_statuses(spark, d):
     return pipeline.statuses(_products(spark, d))
 
@@ -672,16 +712,23 @@ def crowns_dalponte(spark, d):
     return chunks.rasterized_crowns(_chm(V.points(spark, d), g), g, PipelineConfig(), 100.0)
 
 
-@query()
+@query(f"""{WITH_POINTS}, t AS (SELECT DISTINCT tree_id, xi - floor(tree_id / 100000) * 500 AS x, yi - tree_id % 100000 * 500 AS y FROM ({LABELLED}) l),
+e AS (SELECT p.tree_id, p.x AS px, p.y AS py, q.x AS qx, q.y AS qy FROM t p JOIN t q ON p.tree_id = q.tree_id AND (p.x <> q.x OR p.y <> q.y)),
+outside AS (SELECT DISTINCT e.tree_id, px, py, qx, qy FROM e JOIN t r ON r.tree_id = e.tree_id
+  WHERE (qx - px) * (r.y - py) - (qy - py) * (r.x - px) < 0
+     OR ((qx - px) * (r.y - py) - (qy - py) * (r.x - px) = 0 AND (r.x - px) * (r.x - qx) + (r.y - py) * (r.y - qy) > 0)),
+hull AS (SELECT * FROM e EXCEPT SELECT * FROM outside)
+SELECT tree_id, CAST(coalesce((SELECT sum(px * qy - qx * py) FROM hull h WHERE h.tree_id = i.tree_id), 0) AS BIGINT) AS twice_area_cm2 FROM (SELECT DISTINCT tree_id FROM t) i""")
 def crown_hull_area(spark, d):
+    """Hulls of points on a lattice of centimetres: twice their area in square centimetres is a whole number."""
     import pandas as pd
 
     from ..functions.tin import hull_area
 
     def hull(held: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"tree_id": held["tree_id"].iloc[:1], "convhull_area": [round(hull_area(held["x"], held["y"]), 3)]})
+        return pd.DataFrame({"tree_id": held["tree_id"].iloc[:1], "twice_area_cm2": [round(hull_area(held["x"], held["y"]) * 20_000)]})
 
-    return _labelled(spark, d).select("tree_id", "x", "y").groupBy("tree_id").applyInPandas(hull, "tree_id bigint, convhull_area double")
+    return _labelled(spark, d).select("tree_id", "x", "y").groupBy("tree_id").applyInPandas(hull, "tree_id bigint, twice_area_cm2 bigint")
 
 
 SUN = """WITH t AS (SELECT day, minute, 2 * pi() / 365 * (day - 1 + (CAST(minute AS DOUBLE) / 60 - 12) / 24) AS g FROM (SELECT unnest(range(1, 366)) AS day) a, (SELECT CAST(unnest(range(0, 1440, 60)) AS INT) AS minute) b),

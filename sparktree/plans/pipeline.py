@@ -47,10 +47,10 @@ def acquire(index: DataFrame, present: DataFrame, cfg: DownloadConfig, prefix: s
 
 
 def catalog_pipeline(points: DataFrame, cfg: PipelineConfig | None = None, done: DataFrame | None = None) -> DataFrame:
-    """All products of all chunks. done (chunk_x, chunk_y): chunks of an earlier run, which are left out (a restart)."""
+    """All products of all chunks. done (chunk_x, chunk_y): chunks of an earlier run, such as those of finished_chunks, for
+    which nothing is computed again (a restart)."""
     cfg = cfg or PipelineConfig()
-    result = chunks.chunk_products(P.deduplicated(points), cfg)
-    return result if done is None else result.join(done.select("chunk_x", "chunk_y"), ["chunk_x", "chunk_y"], "left_anti")
+    return chunks.chunk_products(P.deduplicated(points), cfg, done)
 
 
 def rasters(result: DataFrame, product: str) -> DataFrame:
@@ -86,10 +86,46 @@ def sample_pipeline(points: DataFrame, cfg: PipelineConfig | None = None, seed:
     return result.unionByName(shade, allowMissingColumns=True), inventory(result, cfg)
 
 
-def write_products(result: DataFrame, path: str) -> None:
-    """By product and chunk: a rerun of some chunks overwrites those and no others."""
-    out = result.filter(F.col("product").isin(*PRODUCTS)).select("product", "chunk_x", "chunk_y", "col", "row", "value")
-    out.repartition("product", "chunk_x", "chunk_y").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("product", "chunk_x", "chunk_y").parquet(path)
+def _by_chunk(rows: DataFrame, path: str, *by: str) -> None:
+    """One folder for each value of `by`; a rerun of some chunks overwrites those and no others."""
+    rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+
+
+def write_products(result: DataFrame, path: str, trees: DataFrame | None = None, size: float = 100.0) -> None:
+    """Rasters by product and chunk, statuses, and the trees of an inventory by the chunk of their apex.
+
+    The folders are path itself, path-status and path-trees. Statuses are written last: a chunk that has one is whole.
+    """
+    path = path.rstrip("/")
+    _by_chunk(result.filter(F.col("product").isin(*PRODUCTS)).select("product", "chunk_x", "chunk_y", "col", "row", "value"), path, "product", "chunk_x", "chunk_y")
+    if trees is not None:
+        of = lambda c: F.floor(F.round(F.col(c) * 100) / F.lit(round(size * 100))).cast("bigint")
+        _by_chunk(trees.withColumns({"chunk_x": of("x"), "chunk_y": of("y")}), path + "-trees", "chunk_x", "chunk_y")
+    if "stage" in result.columns:
+        _by_chunk(statuses(result), path + "-status", "chunk_x", "chunk_y")
+
+
+def finished_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """chunk_x, chunk_y of the chunks that write_products has written to path, however they ended."""
+    return spark.read.parquet(path.rstrip("/") + "-status").select(F.col("chunk_x").cast("bigint"), F.col("chunk_y").cast("bigint")).distinct()
+
+
+def merged_trees(spark: SparkSession, path: str) -> DataFrame:
+    """All trees that write_products has written, their columns united by name; null where a chunk's trees lack one."""
+    return spark.read.option("mergeSchema", "true").parquet(path.rstrip("/") + "-trees").drop("chunk_x", "chunk_y")
+
+
+def write_mosaics(spark: SparkSession, path: str, out: str) -> list[str]:
+    """A sorted Parquet mosaic of each product in out; products without tiles are left out. Returns those written.
+
+    Rows are dealt by ranges of row and column, so each file is a block of the mosaic and readers skip the others.
+    """
+    found = spark.read.parquet(path)
+    has = {r[0] for r in found.select("product").distinct().collect()}  # a handful of names
+    for product in (p for p in PRODUCTS if p in has):
+        cells = found.filter(F.col("product") == product).select("col", "row", "value")
+        cells.repartitionByRange("row", "col").sortWithinPartitions("row", "col").write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/{product}_mosaic")
+    return [p for p in PRODUCTS if p in has]
 
 
 def read_products(spark: SparkSession, path: str, product: str, bbox: tuple[float, float, float, float] | None = None, size: float = 100.0) -> DataFrame:

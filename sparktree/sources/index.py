@@ -1,7 +1,7 @@
 """The tile index service: pages of features as JSON, read by a Spark data source with one partition a page.
 
-A fetcher is any picklable function of a request (a dict of parameters) that returns the response's body; none is built in,
-so nothing here needs a network.
+A fetcher is any picklable function of a request (a dict of parameters) that returns the response's body, or its status and
+body; none is built in, so nothing here needs a network. Another status than 200 and an error in the body are raised.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def request(where: str = "1=1", envelope: str | None = None, fields: str = "file
 def pages(fetch: Callable[[dict], str], page: int = PAGE, most: int = 100_000, **how) -> Iterator[str]:
     """Bodies of successive pages, until one is empty or doesn't say that more are to come."""
     for k in range(most):
-        body = fetch(request(offset=k * page, page=page, **how))
+        body = checked(fetch(request(offset=k * page, page=page, **how)))
         decoded = json.loads(body)
         if not decoded.get("features"):
             return
@@ -43,6 +43,24 @@ def features_of(bodies: DataFrame, schema: str = INDEX_SCHEMA, column: str = "bo
     return bodies.select(F.explode(F.from_json(column, page)["features"]).alias("f")).select("f.attributes.*")
 
 
+class IndexServiceError(RuntimeError):
+    """The index service answered with a status other than 200, or with an error instead of features."""
+
+
+def checked(answer: str | tuple[int, str]) -> str:
+    """The body of an answer, which may be a body alone or a status and a body."""
+    status, body = answer if isinstance(answer, tuple) else (200, answer)
+    if status != 200:
+        raise IndexServiceError(f"status {status}: {body[:200]}")
+    try:
+        said = json.loads(body)
+    except ValueError as e:
+        raise IndexServiceError(f"the answer isn't JSON: {body[:200]}") from e
+    if "error" in said and "features" not in said:
+        raise IndexServiceError(f"the service says: {said['error']}")
+    return body
+
+
 class FeatureIndex(DataSource):
     """Option n_features: what the service counts for the query; pages are then read in parallel. Without it, in turn by one task."""
 
@@ -79,7 +97,7 @@ class _Reader(DataSourceReader):
             for k, body in enumerate(pages(self.fetch, self.page, **self.how)):
                 yield k * self.page, body
         else:
-            yield partition.offset, self.fetch(request(offset=partition.offset, page=self.page, **self.how))
+            yield partition.offset, checked(self.fetch(request(offset=partition.offset, page=self.page, **self.how)))
 
 
 def read_index(spark: SparkSession, fetch: Callable[[dict], str], schema: str = INDEX_SCHEMA, **options) -> DataFrame:

@@ -1,12 +1,13 @@
 """Point clouds in LAS 1.0 to 1.4, point formats 0 to 10: headers as a catalogue, points as rows, and a writer.
 
 Files are read through Spark's binaryFile source, from any store that Spark reads. Compressed files (LAZ) need a codec that
-isn't there: their header is read, their points raise an error.
+isn't there: their header is read, so that the catalogue tells which they are; their points are left out or raise an error.
 """
 
 from __future__ import annotations
 
 import struct
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -89,10 +90,21 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
 
 
+def existing_folders(spark: SparkSession, *folders: str) -> list[str]:
+    """The folders that are there, in any store that Spark reads; a warning says how many aren't, an error that none is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = [f for f in folders if (p := path(f)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)]
+    if not found:
+        raise LasError(f"none of the {len(folders)} folders is there")
+    if len(found) < len(folders):
+        warnings.warn(f"{len(folders) - len(found)} folders not found, using {len(found)} of {len(folders)}", stacklevel=2)
+    return found
+
+
 def list_clouds(spark: SparkSession, *folders: str) -> DataFrame:
-    """file, name of all .las and .laz files of the folders."""
+    """file, name of all .las and .laz files of those of the folders that exist."""
     found = None
-    for folder in folders:
+    for folder in existing_folders(spark, *folders):
         part = _files(spark, folder, "*.la[sz]").select(F.col("path").alias("file"))
         found = part if found is None else found.unionByName(part)
     return found.withColumn("name", F.element_at(F.split("file", "/"), -1))
@@ -112,10 +124,22 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path, "*.la[sz]").select("path", F.substring("content", 1, 375).alias("content")).mapInPandas(run, CATALOG)
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
+def read_points(spark: SparkSession, path: str, compressed: str = "error") -> DataFrame:
+    """All points under a path. A point's id is its file's number, by name, times 2**40 and its place in the file.
+
+    compressed: "error", or "skip" to leave compressed files out; read_catalog says which those are. The files' names are
+    listed on the driver, as Spark's own listing does.
+    """
+    number = {r[0]: k for k, r in enumerate(sorted(_files(spark, path, "*.la[sz]").select("path").collect()))}
+
     def run(frames):
         for held in frames:
             for file, data in zip(held["path"], held["content"]):
-                yield points(bytes(data)).assign(file=file)
+                data = bytes(data)
+                if compressed == "skip" and header(data)["compressed"]:
+                    continue
+                found = points(data).assign(file=file)
+                found["point_id"] += number[file] << 40
+                yield found
 
     return _files(spark, path, "*.la[sz]").select("path", "content").mapInPandas(run, POINTS)

@@ -7,7 +7,10 @@ import sqlite3
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalar as S
 
 TREE_COLUMNS = ("tree_id", "x", "y", "z", "npoints", "convhull_area", "dtm_z", "slope_deg", "aspect_deg")
 
@@ -112,8 +115,41 @@ def encode_polygons(shapes: list[list[list[tuple[float, float]]]]) -> bytes:
     return head + records
 
 
-def read_areas(spark: SparkSession, path: str) -> DataFrame:
-    """aoi_id, ring: the outer rings of a shapefile's polygons. An area of interest is a handful of rows."""
-    rows = spark.read.format("binaryFile").load(path).select("content").collect()
-    shapes = [s for r in rows for s in polygons(bytes(r[0]))]
-    return spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in s[0]]) for k, s in enumerate(shapes)], "aoi_id int, ring array<struct<x:double,y:double>>")
+def _area(ring: list[tuple[float, float]]) -> float:
+    """Twice the signed area: negative for an outer ring, which goes clockwise."""
+    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))
+
+
+def read_areas(spark: SparkSession, path: str, crs: int = 3005, to: int = 3005) -> DataFrame:
+    """aoi_id, part, hole, ring: every ring of a shapefile's polygons, in the reference system `to`.
+
+    Parts of one shape have one aoi_id; a ring that goes against the clock is a hole. An area of interest is a handful of
+    rows. Known are longitude and latitude (4326, 4269), British Columbia's Albers (3005) and the web's Mercator (3857).
+    """
+
+    def run(frames):
+        for held in frames:
+            rows = [(k, i, _area(r) > 0, [{"x": x, "y": y} for x, y in r]) for data in held["content"] for k, s in enumerate(polygons(bytes(data))) for i, r in enumerate(s)]
+            yield pd.DataFrame(rows, columns=["aoi_id", "part", "hole", "ring"])
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "aoi_id int, part int, hole boolean, ring array<struct<x:double,y:double>>")
+    return rows.withColumn("ring", F.transform("ring", lambda p: reprojected(p, crs, to)))
+
+
+def reprojected(p: Column, crs: int, to: int) -> Column:
+    """A point struct (x, y) of one reference system in another."""
+    same = {4269: 4326}
+    crs, to = same.get(crs, crs), same.get(to, to)
+    known = {4326: (lambda x, y: (x, y), lambda x, y: (x, y)), 3005: (S.albers_inverse, S.albers), 3857: (S.web_mercator_inverse, S.web_mercator)}
+    if crs == to:
+        return p
+    if crs not in known or to not in known:
+        raise ValueError(f"no way from EPSG:{crs} to EPSG:{to}")
+    x, y = known[to][1](*known[crs][0](p["x"], p["y"]))
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def envelope(areas: DataFrame) -> tuple[float, float, float, float]:
+    """xmin, ymin, xmax, ymax of all rings."""
+    p = areas.select(F.explode("ring").alias("p"))
+    return tuple(p.agg(F.min("p.x"), F.min("p.y"), F.max("p.x"), F.max("p.y")).first())

@@ -71,11 +71,52 @@ def test_geopackage(spark, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted([(1, 1.5, 3.5, 10.0, "a"), (2, 2.5, 4.5, None, None), (1, 1.5, 3.5, None, None)], key=repr)
 
 
+def test_folders_of_clouds(spark, tmp_path):
+    c = pd.DataFrame({"x": [1.0, 2.0], "y": [1.0, 2.0], "z": [3.0, 4.0]})
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.las").write_bytes(las.encode(c))
+    squeezed = bytearray(las.encode(c))
+    squeezed[104] |= 0x80
+    (tmp_path / "b" / "z.laz").write_bytes(bytes(squeezed))
+    a, b, none = str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "none")
+    with pytest.warns(UserWarning, match="using 2 of 3"):
+        assert sorted(r["name"] for r in las.list_clouds(spark, a, none, b).collect()) == ["a.las", "b.las", "z.laz"]
+    with pytest.raises(las.LasError, match="none of the 1"):
+        las.list_clouds(spark, none)
+    got = las.read_points(spark, str(tmp_path), compressed="skip").toPandas()
+    assert len(got) == 4 and got["point_id"].is_unique and got.groupby("file")["point_id"].apply(lambda v: v.max() - v.min()).tolist() == [1, 1]
+    assert [r["compressed"] for r in las.read_catalog(spark, str(tmp_path)).orderBy("path").collect()] == [False, False, True]
+
+
+def test_areas_of_several_parts_are_reprojected(spark, tmp_path):
+    square = lambda x, y, d, back=False: [(x, y), (x, y + d), (x + d, y + d), (x + d, y), (x, y)][:: -1 if back else 1]
+    shapes = [[square(-122.0, 54.0, 0.2), square(-121.9, 54.1, 0.05, True), square(-120.0, 53.0, 0.1)]]
+    (tmp_path / "aoi.shp").write_bytes(vector.encode_polygons(shapes))
+    as_is = vector.read_areas(spark, str(tmp_path / "aoi.shp"), 4326, 4269).orderBy("part").collect()
+    assert [(r["aoi_id"], r["part"], r["hole"]) for r in as_is] == [(0, 0, False), (0, 1, True), (0, 2, False)] and [(p["x"], p["y"]) for p in as_is[2]["ring"]] == shapes[0][2]
+    box = vector.envelope(vector.read_areas(spark, str(tmp_path / "aoi.shp"), 4326, 3005))
+    assert 1e6 < box[0] < box[2] < 1.5e6 and 8e5 < box[1] < box[3] < 1.2e6
+    web = vector.envelope(vector.read_areas(spark, str(tmp_path / "aoi.shp"), 4326, 3857))
+    assert web[0] == pytest.approx(-122 * 111319.49, rel=1e-4)
+    with pytest.raises(ValueError, match="EPSG:1"):
+        vector.read_areas(spark, str(tmp_path / "aoi.shp"), 1, 3005)
+
+
+def test_errors_of_the_index_service_are_raised():
+    answers = iter([(200, json.dumps({"features": [1], "exceededTransferLimit": True})), (503, "busy")])
+    with pytest.raises(index.IndexServiceError, match="503"):
+        list(index.pages(lambda q: next(answers)))
+    for body in ('{"error": {"code": 400}}', "<html>oops"):
+        with pytest.raises(index.IndexServiceError):
+            list(index.pages(lambda q: body))
+
+
 def test_shapefile(spark, tmp_path):
     shapes = [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]], [[(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 5.0)], [(5.2, 5.1), (5.3, 5.1), (5.3, 5.2), (5.2, 5.1)]]]
     assert vector.polygons(vector.encode_polygons(shapes)) == shapes
     (tmp_path / "aoi.shp").write_bytes(vector.encode_polygons(shapes))
-    rows = vector.read_areas(spark, str(tmp_path / "aoi.shp")).orderBy("aoi_id").collect()
+    rows = vector.read_areas(spark, str(tmp_path / "aoi.shp")).orderBy("aoi_id", "part").collect()
     assert [(p["x"], p["y"]) for p in rows[1]["ring"]] == shapes[1][0]
     with pytest.raises(ValueError):
         vector.polygons(b"\0" * 120)

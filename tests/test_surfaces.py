@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparktree.config import PipelineConfig
 from sparktree.functions import canopy, tin
 from sparktree.functions.grid import GridSpec, circle_offsets
-from sparktree.operators import chunks, raster as R, trees as T
+from sparktree.operators import chunks, points as P, raster as R, trees as T
 from sparktree.operators.daylight import sun_table, time_in_daylight
 from sparktree.plans import pipeline
 
@@ -210,3 +210,79 @@ def test_quantiles_without_one_task(spark):
     assert at == {k: np.sort(v)[k] for k in (0, 17, 2000, 3999)}
     assert T.summary(rows, ["v"], few=0).collect()[0][1:7] == pytest.approx(T.summary(rows, ["v"]).collect()[0][1:7])
     assert T.quantiles(rows.limit(0), "v", (0.5,)) == [None]
+
+
+def test_clouds_as_they_come(spark):
+    """First returns make the canopy; water is level ground but no terrain; classes and return numbers may be missing."""
+    cfg = PipelineConfig(resolution=1.0, chunk_size=60.0)
+    p = cloud(spark, side=60.0, trees=((30.0, 30.0, 12.0),)).withColumn("return_number", F.lit(1))
+    high = p.filter("cls = 5").withColumns({"z": F.col("z") + 10, "return_number": F.lit(2), "point_id": F.col("point_id") + 10**6})
+    top = lambda q: pipeline.rasters(pipeline.catalog_pipeline(q, cfg), "chm").agg(F.max("value")).first()[0]
+    assert top(p.unionByName(high)) == pytest.approx(top(p), abs=1e-6)  # returns above that aren't first ones change nothing
+    assert top(p.unionByName(high).drop("return_number")) > top(p) + 5
+    water = p.withColumn("cls", F.when((F.col("cls") == 2) & (F.col("x") > 20), 9).otherwise(F.col("cls")))
+    got = chunks.interpolated_ground(water, cfg).filter("cls = 9").agg(F.max(F.abs("height"))).first()[0]
+    assert got == pytest.approx(0, abs=1e-9)
+    result = pipeline.catalog_pipeline(water.filter("cls <> 2"), cfg)
+    made = {r["product"] for r in result.select("product").distinct().collect()}
+    assert {"chm", "dsm", "trees"} <= made and not {"dtm", "slope"} & made
+    without = pipeline.catalog_pipeline(p.drop("cls"), cfg)
+    assert {r["product"] for r in without.select("product").distinct().collect()} == {"dsm", "status"}
+
+
+def test_exact_duplicates_only(spark):
+    d = spark.createDataFrame([(1, 100, 100, 1.001, 1.0, 5.0, 2), (2, 100, 100, 1.004, 1.0, 5.0, 2), (3, 100, 100, 1.004, 1.0, 5.0, 5)], "point_id long, xi long, yi long, x double, y double, z double, cls int")
+    assert sorted(r["point_id"] for r in P.deduplicated(d).collect()) == [1, 2]
+
+
+def test_a_restart_computes_no_finished_chunk(spark, tmp_path):
+    cfg = PipelineConfig(resolution=2.0, chunk_size=30.0)
+    p = cloud(spark, side=60.0, trees=((15.0, 15.0, 12.0),))
+    first = pipeline.catalog_pipeline(p.filter("x < 30"), cfg).persist()
+    out = str(tmp_path / "products")
+    pipeline.write_products(first, out, pipeline.inventory(first, cfg), cfg.chunk_size)
+    done = pipeline.finished_chunks(spark, out)
+    n = done.count()
+    assert n >= 2
+
+    def refuses(key, held):
+        assert key not in finished, "a finished chunk was computed again"
+        return pd.DataFrame({"chunk_x": [key[0]], "chunk_y": [key[1]]})
+
+    finished = {(r["chunk_x"], r["chunk_y"]) for r in done.collect()}
+    ran = chunks.apply_chunks(p, refuses, "chunk_x bigint, chunk_y bigint", 30.0, 5.0, done).collect()
+    assert len(ran) == chunks.apply_chunks(p, lambda k, h: pd.DataFrame({"n": [1]}), "n bigint", 30.0, 5.0).count() - n and not finished & {tuple(r) for r in ran}
+    rest = pipeline.catalog_pipeline(p, cfg, done).persist()
+    pipeline.write_products(rest, out, pipeline.inventory(rest, cfg), cfg.chunk_size)
+    assert pipeline.finished_chunks(spark, out).count() == n + len(ran)
+    assert pipeline.merged_trees(spark, out).columns[:3] == ["tree_id", "x", "y"] and pipeline.merged_trees(spark, out).count() >= 1
+    made = pipeline.write_mosaics(spark, out, str(tmp_path / "mosaic"))
+    assert set(made) == set(pipeline.PRODUCTS)
+    assert spark.read.parquet(str(tmp_path / "mosaic" / "dtm_mosaic")).count() == pipeline.read_products(spark, out, "dtm").count()
+
+
+def test_nearest_means_by_tiles():
+    rng = np.random.default_rng(6)
+    px, py, pz = rng.random(500) * 40, rng.random(500) * 90, rng.random(500)
+    x, y = rng.random(800) * 200 - 80, rng.random(800) * 200 - 80
+    got = tin.nearest_mean(px, py, pz, x, y, 3, 1.0, 50.0, tiles=7)
+    d = np.hypot(x[:, None] - px, y[:, None] - py)
+    near = np.argsort(d, 1)[:, :3]
+    dist = np.take_along_axis(d, near, 1)
+    w = np.where(dist <= 50, 1 / dist, 0)
+    with np.errstate(invalid="ignore"):
+        want = np.where(w.sum(1) > 0, (w * pz[near]).sum(1) / w.sum(1), np.nan)
+    assert np.allclose(got, want, equal_nan=True) and np.isnan(want).any()
+
+
+def test_gaps_from_the_cells_beside_them():
+    rng = np.random.default_rng(7)
+    cx, cy = np.meshgrid(np.arange(30) + 0.5, np.arange(30) + 0.5)
+    grid = 3 * cx - cy + 2
+    empty = rng.random((30, 30)) < 0.2
+    empty[5:12, 8:20] = True
+    inner = np.zeros_like(empty)
+    inner[2:-2, 2:-2] = True
+    got = np.where(empty, np.nan, grid)
+    got[empty] = chunks._gaps(got, empty, cx, cy, {})
+    assert np.allclose(got[inner], grid[inner])
