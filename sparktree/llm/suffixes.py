@@ -95,8 +95,8 @@ def _scan(batches):
         for t in T.chunks(batch.column("text")):
             doc, first, last, anchor, least = stretches(t)
             ids = batch.column("doc_id").take(pa.array(doc + t.first))
-            numbers = [pa.array(x.astype(np.int32)) for x in (first, last, anchor)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(_text_hash(t)[doc]), pa.array(least.view(np.int64)), *numbers], names=["doc_id", "text_hash", "least", "first", "last", "anchor"])
+            small = [pa.array(x.astype(np.int16)) for x in (last - first, anchor - last)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(_text_hash(t)[doc]), pa.array(least.view(np.int64)), pa.array(first.astype(np.int32)), *small], names=["doc_id", "text_hash", "least", "first", "more", "ahead"])
 
 
 def _pack(batches):
@@ -193,12 +193,20 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tupl
 
 #: A block of a run: its keys front-coded, how much of each is suffix, how often each occurs, and where: the entry of each
 #: occurrence, its text and its anchor. What is merged reads no occurrences, so their number weighs on no range.
-BLOCKS = "run bigint, block int, head binary, shared array<int>, rest array<binary>, cut array<int>, n array<int>, entry array<int>, doc_id array<bigint>, text_hash array<bigint>, anchor array<int>"
-BLOCK_TYPES = dict(run=pa.int64(), block=pa.int32(), head=pa.binary(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), cut=pa.list_(pa.int32()), n=pa.list_(pa.int32()), entry=pa.list_(pa.int32()), doc_id=pa.list_(pa.int64()), text_hash=pa.list_(pa.int64()), anchor=pa.list_(pa.int32()))
+BLOCKS = "run bigint, block int, middle binary, shared array<int>, rest array<binary>, cut array<int>, n array<int>, entry array<int>, doc_id array<bigint>, text_hash array<bigint>, anchor array<int>"
+BLOCK_TYPES = dict(run=pa.int64(), block=pa.int32(), middle=pa.binary(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), cut=pa.list_(pa.int32()), n=pa.list_(pa.int32()), entry=pa.list_(pa.int32()), doc_id=pa.list_(pa.int64()), text_hash=pa.list_(pa.int64()), anchor=pa.list_(pa.int32()))
 PIECES = "range int, run bigint, block int, first int, shared array<int>, rest array<binary>, cut array<int>, n array<int>"
 PIECE_TYPES = dict(range=pa.int32(), run=pa.int64(), block=pa.int32(), first=pa.int32(), shared=pa.list_(pa.int32()), rest=pa.list_(pa.binary()), cut=pa.list_(pa.int32()), n=pa.list_(pa.int32()))
-#: Strings of an entry that are repeated, from `low` to `high` (starts, counted from the anchor); with h, one that may be.
-MARKS = "run bigint, block int, entry int, low int, high int, h bigint"
+#: Strings of an entry that are repeated; with h, one that may be. A mark is one number: the entry in its block, the first and the last start, counted from the anchor.
+MARKS = "run bigint, block int, mark bigint, h bigint"
+
+
+def _mark(entry, low, high):
+    return entry << 20 | low + 512 << 10 | high + 512
+
+
+def _unmarked(mark):
+    return mark >> 20, (mark >> 10 & 1023) - 512, (mark & 1023) - 512
 
 
 def _rows(rows: list[dict], types: dict) -> pa.RecordBatch:
@@ -219,12 +227,14 @@ def _runs(batches):
             shared, rest = front_code(k for k, _ in some)
             flat = [x for p in places for x in p]
             entry = [i for i, p in enumerate(places) for _ in p]
-            yield _rows([dict(run=number, block=block, head=some[0][0], shared=shared, rest=rest, cut=[c for _, c in some], n=[len(p) for p in places], entry=entry, doc_id=[x[0] for x in flat], text_hash=[x[1] for x in flat], anchor=[x[2] for x in flat])], BLOCK_TYPES)
+            yield _rows([dict(run=number, block=block, middle=some[len(some) // 2][0], shared=shared, rest=rest, cut=[c for _, c in some], n=[len(p) for p in places], entry=entry, doc_id=[x[0] for x in flat], text_hash=[x[1] for x in flat], anchor=[x[2] for x in flat])], BLOCK_TYPES)
 
     for batch in batches:
         asked, texts = batch.column("asked"), batch.column("packed").to_pylist()
-        inner, offsets = asked.flatten(), np.concatenate([[0], np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))])
-        first, last, anchor = (inner.field(c).to_numpy().tolist() for c in ("first", "last", "anchor"))
+        place, offsets = asked.flatten().to_numpy(), np.concatenate([[0], np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))])
+        first = place >> 16
+        last = first + (place >> 8 & 255)
+        first, last, anchor = first.tolist(), last.tolist(), (last + (place & 255)).tolist()
         for k, (doc, text_hash, packed) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts)):
             text = open_.decompress(packed)
             for x in range(offsets[k], offsets[k + 1]):
@@ -339,10 +349,8 @@ class Entries:
             a, b, places = np.repeat(a, times), np.repeat(b, times), [p for o in owner.tolist() for p in self.places[o]]
         else:
             places = [self.places[o][0] for o in owner.tolist()]
-        run, block, entry = zip(*places) if places else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(run, pa.int64()), pa.array(block, pa.int32()), pa.array(entry, pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.nulls(len(places), pa.int64()) if h is None else pa.array(h)], names=["run", "block", "entry", "low", "high", "h"]
-        )
+        run, block, entry = np.array(places, np.int64).reshape(-1, 3).T
+        return pa.RecordBatch.from_arrays([pa.array(run), pa.array(block.astype(np.int32)), pa.array(_mark(entry, a, b)), pa.nulls(len(places), pa.int64()) if h is None else pa.array(h)], names=["run", "block", "mark", "h"])
 
 
 def _merged(batches, splitters: list[bytes]):
@@ -369,25 +377,27 @@ def _strings(batches):
         rows = []
         for row in batch.to_pylist():
             keys = [k for _, k in front_decode(row["shared"], row["rest"])]
-            for x in row["asked"]:
-                key, cut, s = keys[x["entry"]], row["cut"][x["entry"]], x["low"]
-                rows.append(dict(string=key[cut : cut - s][::-1] + key[: s + LENGTH], run=row["run"], block=row["block"], entry=x["entry"], low=s))
-        yield _rows(rows, dict(string=pa.binary(), run=pa.int64(), block=pa.int32(), entry=pa.int32(), low=pa.int32()))
+            for mark in row["asked"]:
+                entry, s, _ = _unmarked(mark)
+                key, cut = keys[entry], row["cut"][entry]
+                rows.append(dict(string=key[cut : cut - s][::-1] + key[: s + LENGTH], run=row["run"], block=row["block"], mark=mark))
+        yield _rows(rows, dict(string=pa.binary(), run=pa.int64(), block=pa.int32(), mark=pa.int64()))
 
 
 def _placed(batches):
     """Marks of entries, brought to every occurrence of the entry."""
     for batch in batches:
-        out = [[], [], [], []]
+        out = [[], [], []]
         for row in batch.to_pylist():
             marks: dict[int, list[tuple[int, int]]] = {}
-            for x in row["marks"]:
-                marks.setdefault(x["entry"], []).append((x["low"], x["high"]))
+            for mark in row["marks"]:
+                entry, a, b = _unmarked(mark)
+                marks.setdefault(entry, []).append((a, b))
             for e, doc, text_hash, g in zip(row["entry"], row["doc_id"], row["text_hash"], row["anchor"]):
                 for a, b in marks.get(e, ()):
-                    for o, v in zip(out, (doc, text_hash, g + a, g + b)):
+                    for o, v in zip(out, (doc, text_hash, g + a << 8 | b - a)):
                         o.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "text_hash", "first", "last"])
+        yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["doc_id", "text_hash", "span"])
 
 
 def _remove(batches):
@@ -398,8 +408,9 @@ def _remove(batches):
             text = open_.decompress(packed)
             kept, at, n_spans, removed = [], 0, 0, 0
             reach = -1
-            for s in sorted((x["first"], x["last"]) for x in spans or ()):
-                a, b = s[0], s[1] + LENGTH
+            for span in sorted(spans or ()):
+                a = span >> 8
+                b = a + (span & 255) + LENGTH
                 if a > reach:
                     n_spans += 1
                     kept.append(text[at:a])
@@ -420,12 +431,14 @@ def _with_digest(batches):
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, first, last: runs of starts of LENGTH-byte strings that also start elsewhere."""
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, "doc_id long, text_hash long, least long, first int, last int, anchor int")
+    """doc_id, text_hash, spans: of texts that hold LENGTH-byte strings which also start elsewhere, runs of their starts, the first * 256 + their number - 1."""
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, "doc_id long, text_hash long, least long, first int, more short, ahead short")
     found = materialise(found, "stretches")
     # a table of its own, so that Spark can split the side of a string that occurs very often
     shared = materialise(found.groupBy("least").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("least"), "shared-anchors")
-    asked = found.join(shared, "least").groupBy(F.col("doc_id").alias("d_"), F.col("text_hash").alias("t_")).agg(F.collect_list(F.struct("first", "last", "anchor")).alias("asked"))
+    # a stretch is one number from here on, which is much less to shuffle
+    places = found.select("least", "doc_id", "text_hash", (F.shiftleft(F.col("first").cast("long"), 16) + F.shiftleft("more", 8) + F.col("ahead")).alias("place"))
+    asked = places.join(shared, "least").groupBy(F.col("doc_id").alias("d_"), F.col("text_hash").alias("t_")).agg(F.collect_list("place").alias("asked"))
     # rows of one doc_id and text have one list between them, with all their occurrences in it
     held = packed(docs).dropDuplicates(["doc_id", "text_hash"]).join(asked, F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("text_hash") == F.col("t_"))).drop("d_", "t_")
     blocks = materialise(held.mapInArrow(_runs, BLOCKS), "suffix-runs", "zstd")
@@ -433,20 +446,20 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     total, n_blocks = blocks.agg(F.coalesce(F.sum(F.size("cut")), F.lit(0)), F.count(F.lit(1))).first()
     ranges = max(1, min(SPLITTER_SAMPLE, total // RANGE))
     one_of = max(1, n_blocks // SPLITTER_SAMPLE)
-    sample = sorted(bytes(r[0]) for r in blocks.filter(F.pmod(F.xxhash64("run", "block"), F.lit(one_of)) == 0).select("head").limit(2 * SPLITTER_SAMPLE).collect()) if ranges > 1 else []
+    sample = sorted(bytes(r[0]) for r in blocks.filter(F.pmod(F.xxhash64("run", "block"), F.lit(one_of)) == 0).select("middle").limit(2 * SPLITTER_SAMPLE).collect()) if ranges > 1 else []
     splitters = sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
     pieces = blocks.select("run", "block", "shared", "rest", "cut", "n").mapInArrow(lambda it: _pieces(it, splitters), PIECES)
     marks = materialise(pieces.repartitionById(len(splitters) + 1, F.col("range")).mapInArrow(lambda it: _merged(it, splitters), MARKS), "marks")
     asking = marks.filter("h is not null")
     twice = asking.groupBy("h").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("h")
-    across = asking.join(materialise(twice, "hashes-across"), "h").groupBy("run", "block").agg(F.collect_list(F.struct("entry", "low")).alias("asked"))
-    strings = blocks.select("run", "block", "shared", "rest", "cut").join(across, ["run", "block"]).mapInArrow(_strings, "string binary, run bigint, block int, entry int, low int")
+    across = asking.join(materialise(twice, "hashes-across"), "h").groupBy("run", "block").agg(F.collect_list("mark").alias("asked"))
+    strings = blocks.select("run", "block", "shared", "rest", "cut").join(across, ["run", "block"]).mapInArrow(_strings, "string binary, run bigint, block int, mark bigint")
     strings = materialise(strings, "strings-across", "zstd")
     again = materialise(strings.groupBy("string").agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").select("string"), "repeats-across", "zstd")
-    met = strings.join(again, "string").select("run", "block", "entry", "low", F.col("low").alias("high"))
-    every = marks.filter("h is null").drop("h").unionByName(met).groupBy("run", "block").agg(F.collect_list(F.struct("entry", "low", "high")).alias("marks"))
-    spans = blocks.select("run", "block", "entry", "doc_id", "text_hash", "anchor").join(every, ["run", "block"]).mapInArrow(_placed, "doc_id long, text_hash long, first int, last int")
-    out = materialise(spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    met = strings.join(again, "string").select("run", "block", "mark")
+    every = marks.filter("h is null").drop("h").unionByName(met).groupBy("run", "block").agg(F.collect_list("mark").alias("marks"))
+    spans = blocks.select("run", "block", "entry", "doc_id", "text_hash", "anchor").join(every, ["run", "block"]).mapInArrow(_placed, "doc_id long, text_hash long, span long")
+    out = materialise(spans.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("spans")), "spans")
     release(blocks, marks, strings, again)
     return out
 

@@ -94,8 +94,8 @@ def test_blocks_pieces_and_batches_of_any_size(hot, monkeypatch):
     want = {(i, p) for i, b in enumerate(texts) for p in range(len(b) - L + 1) if want[b[p : p + L]] > 1}
     data = next(T.chunks(pa.array(texts, pa.binary()), 1 << 30))
     doc, first, last, anchor, _ = S.stretches(data)
-    asked = [[{"first": int(a), "last": int(b), "anchor": int(g)} for d, a, b, g in zip(doc, first, last, anchor) if d == i] for i in range(len(texts))]
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int32())]))
+    asked = [[int(a) << 16 | int(b - a) << 8 | int(g - b) for d, a, b, g in zip(doc, first, last, anchor) if d == i] for i in range(len(texts))]
+    kind = pa.list_(pa.int64())
     pack = zstandard.ZstdCompressor(write_content_size=True).compress
     batch = lambda at: pa.RecordBatch.from_arrays([pa.array(at), pa.array([0] * len(at)), pa.array([pack(texts[i]) for i in at]), pa.array([asked[i] for i in at], kind)], names=["doc_id", "text_hash", "packed", "asked"])
     for block, size, run_bytes, cuts in ((1024, 10**6, 1 << 30, 0), (5, 1, 9000, 0), (3, 40, 30_000, 9), (1, 1, 1 << 30, 40)):
@@ -114,16 +114,16 @@ def test_blocks_pieces_and_batches_of_any_size(hot, monkeypatch):
         by = {(r["run"], r["block"]): r for r in blocks}
         met: dict[bytes, list] = {}
         for x in [x for x in marks if x["h"] is not None]:
-            row = S._strings([pa.RecordBatch.from_pylist([{**by[x["run"], x["block"]], "asked": [x]}])])
+            row = S._strings([pa.RecordBatch.from_pylist([{**by[x["run"], x["block"]], "asked": [x["mark"]]}])])
             for y in next(row).to_pylist():
-                met.setdefault(y["string"], []).append({**x, "high": x["low"]})
+                met.setdefault(y["string"], []).append(x)
         marks = [x for x in marks if x["h"] is None] + [x for v in met.values() if len(v) > 1 for x in v]
         got = set()
         for x in marks:
-            r = by[x["run"], x["block"]]
+            r, (entry, low, high) = by[x["run"], x["block"]], S._unmarked(x["mark"])
             for e, i, g in zip(r["entry"], r["doc_id"], r["anchor"]):
-                if e == x["entry"]:
-                    got |= {(i, p) for p in range(g + x["low"], g + x["high"] + 1)}
+                if e == entry:
+                    got |= {(i, p) for p in range(g + low, g + high + 1)}
         assert got == want, (block, size, run_bytes, cuts, len(got), len(want))
 
 
