@@ -45,7 +45,11 @@ def pit_free(x, y, h, cell_x, cell_y, res: float, hmax: float = 30.0, levels=(0.
 def local_maxima(chm: np.ndarray, res: float, hmin: float = 2.0, hmax: float = 30.0, least: float = 2.0, widest: float = 5.4) -> list[tuple[int, int]]:
     """(row, col) of cells of at least `least` with no higher one within half their window; of equal ones the first by (row, col)."""
     v = np.where(np.isnan(chm), -np.inf, chm)
-    reach = window_size(v, hmin, hmax) / 2
+    return highest_within(v, window_size(v, hmin, hmax) / 2, res, least, widest)
+
+
+def highest_within(v: np.ndarray, reach: np.ndarray, res: float, least: float, widest: float) -> list[tuple[int, int]]:
+    """(row, col) of the cells of at least `least` that are the highest, or the first of these, within their own reach."""
     top = v >= least
     r = int(widest / 2 / res + 1e-9)
     padded = np.pad(v, r, constant_values=-np.inf)

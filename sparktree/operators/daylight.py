@@ -39,18 +39,18 @@ def sun_table(spark: SparkSession, lat: float, lon: float, utc_offset: float = -
     return t.select("day", "minute", F.degrees(F.asin(sin_alt)).alias("altitude"), azimuth.alias("azimuth"))
 
 
+def ray(azimuth: float, steps: int) -> list[tuple[int, int]]:
+    """Offsets (columns, rows) of the cells that a ray towards an azimuth meets, each once."""
+    dx, dy = math.sin(math.radians(azimuth)), math.cos(math.radians(azimuth))
+    return list(dict.fromkeys((round(dx * s), round(dy * s)) for s in range(1, steps + 1)))
+
+
 def horizons(z: np.ndarray, res: float, azimuths: list[float], furthest: float, pad: int) -> np.ndarray:
     """Of the cells inside `pad`, the horizon's angle in each direction, in degrees, at least 0. Rows go north."""
     inner = z[pad:-pad, pad:-pad] if pad else z
     out = np.zeros((len(azimuths), *inner.shape))
     for k, a in enumerate(azimuths):
-        dx, dy = math.sin(math.radians(a)), math.cos(math.radians(a))
-        seen = set()
-        for step in range(1, int(furthest / res) + 1):
-            dc, dr = round(dx * step), round(dy * step)
-            if (dc, dr) in seen or not (dc or dr):
-                continue
-            seen.add((dc, dr))
+        for dc, dr in ray(a, int(furthest / res)):
             other = z[pad + dr : pad + dr + inner.shape[0], pad + dc : pad + dc + inner.shape[1]]
             angle = np.degrees(np.arctan((other - inner) / (math.hypot(dc, dr) * res)))
             out[k] = np.fmax(out[k], angle)

@@ -4,27 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scalar as S
-from ..functions.grid import GridSpec, circle_offsets, with_cells
+from ..functions import canopy, scalar as S
+from ..functions.grid import GridSpec, with_cells
 
 
-def treetops(chm: DataFrame, grid: GridSpec, window: Callable[[Column], Column] = S.window_size, least: float = 2.0, widest: float = 5.4) -> DataFrame:
+def treetops(chm: DataFrame, grid: GridSpec, window: Callable[[Column], Column] = S.window_size, least: float = 2.0, widest: float = 5.4, block: int = 256) -> DataFrame:
     """Cells of at least `least` with no higher cell within half their own window; of equal cells the first by (row, col).
 
-    Every cell is sent to the cells within half the widest window, and each looks at what it was sent: one shuffle.
+    Cells go to blocks, with those within half the widest window around a block: one row a cell, and a few at blocks' edges.
     """
-    offsets = [(dc, dr, (dc * dc + dr * dr) * grid.res**2) for dc, dr in circle_offsets(widest / 2, grid.res)]
-    sent = F.explode(F.array(*(F.struct(F.lit(dc).alias("dc"), F.lit(dr).alias("dr"), F.lit(float(d2)).alias("d2")) for dc, dr, d2 in offsets)))
-    near = chm.filter("value is not null").select("col", "row", "value", sent.alias("o"))
-    near = near.select((F.col("col") + F.col("o.dc")).alias("col"), (F.col("row") + F.col("o.dr")).alias("row"), F.when((F.col("o.dc") == 0) & (F.col("o.dr") == 0), F.col("value")).alias("own"), F.struct("value", F.col("o.d2").alias("d2"), (-F.col("o.dr")).alias("dr"), (-F.col("o.dc")).alias("dc")).alias("n"))
-    met = near.groupBy("col", "row").agg(F.max("own").alias("value"), F.collect_list("n").alias("near")).filter(F.col("value") >= least)
-    reach = window(F.col("value")) / 2
-    earlier = lambda n: (n["dr"] < 0) | ((n["dr"] == 0) & (n["dc"] < 0))
-    beaten = F.exists("near", lambda n: (n["d2"] <= reach * reach) & ((n["value"] > F.col("value")) | ((n["value"] == F.col("value")) & earlier(n))))
-    return met.filter(~beaten).select("col", "row", "value")
+    pad = int(widest / 2 / grid.res + 1e-9)
+    block = max(block, 2 * pad)
+    reach = lambda v: F.sequence(F.floor((F.col(v) - pad) / F.lit(block)), F.floor((F.col(v) + pad) / F.lit(block)))
+
+    def highest(key, held):
+        c0, r0, side = int(key[0]) * block - pad, int(key[1]) * block - pad, block + 2 * pad
+        row, col = held["row"].to_numpy() - r0, held["col"].to_numpy() - c0
+        v, w = np.full((side, side), -np.inf), np.zeros((side, side))
+        v[row, col], w[row, col] = held["value"].to_numpy(float), held["reach"].to_numpy(float)
+        tops = np.array(canopy.highest_within(v, w, grid.res, least, widest), np.int64).reshape(-1, 2)
+        tops = tops[((tops >= pad) & (tops < pad + block)).all(1)]
+        return pd.DataFrame({"col": tops[:, 1] + c0, "row": tops[:, 0] + r0, "value": v[tops[:, 0], tops[:, 1]]})
+
+    cells = chm.filter("value is not null").select("col", "row", F.col("value").cast("double").alias("value"), (window(F.col("value")) / 2).alias("reach"))
+    dealt = cells.withColumn("bc", F.explode(reach("col"))).withColumn("br", F.explode(reach("row")))
+    return dealt.groupBy("bc", "br").applyInPandas(highest, "col bigint, row bigint, value double")
 
 
 def labelled(points: DataFrame, crowns: DataFrame, grid: GridSpec) -> DataFrame:

@@ -13,7 +13,7 @@ from ..config import PipelineConfig
 from ..functions import scalar as S
 from ..functions.grid import GridSpec, chunk_of, circle_offsets, dense_cells, with_cells, with_halo
 from ..operators import chunks, points as P, raster as R, tiles as L, trees as T
-from ..operators.daylight import sun_table, time_in_daylight
+from ..operators.daylight import ray, sun_table, time_in_daylight
 from . import pipeline, views as V
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -735,15 +735,23 @@ SUN = """WITH t AS (SELECT day, minute, 2 * pi() / 365 * (day - 1 + (CAST(minute
 e AS (SELECT *, 229.18 * (0.000075 + 0.001868 * cos(g) - 0.032077 * sin(g) - 0.014615 * cos(2 * g) - 0.040849 * sin(2 * g)) AS equation,
   0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g) - 0.002697 * cos(3 * g) + 0.00148 * sin(3 * g) AS decl, radians(CAST(54 AS DOUBLE)) AS f FROM t),
 h AS (SELECT *, radians((minute + equation + 4 * -122 - 60 * -8) / 4 - 180) AS hour FROM e)
-SELECT day, minute, round(degrees(asin(sin(f) * sin(decl) + cos(f) * cos(decl) * cos(hour))), 6) AS altitude,
-  round((degrees(atan2(sin(hour), cos(hour) * sin(f) - tan(decl) * cos(f))) + 180 + 360) % 360, 6) AS azimuth FROM h"""
+, sun AS (SELECT day, minute, degrees(asin(sin(f) * sin(decl) + cos(f) * cos(decl) * cos(hour))) AS altitude,
+  (degrees(atan2(sin(hour), cos(hour) * sin(f) - tan(decl) * cos(f))) + 180 + 360) % 360 AS azimuth FROM h)"""
 
 
-@query(SUN)
+@query(f"{SUN} SELECT day, minute, round(altitude, 6) AS altitude, round(azimuth, 6) AS azimuth FROM sun")
 def sun_positions(spark, d):
     return rounded(sun_table(spark, 54.0, -122.0, step=60), "altitude", "azimuth")
 
 
-@query()
+#: The cells that a ray of each of 36 directions meets within 100 m, and how far away they are, on a lattice of 10 m.
+RAYS = ", ".join(f"({k}, {dc}, {dr}, sqrt({100 * (dc * dc + dr * dr)}))" for k in range(36) for dc, dr in ray(k * 10.0, 10))
+
+
+@query(f"""{SUN}, points AS ({V.POINTS}), d AS ({DSM10}), rays(k, dc, dr, dist) AS (VALUES {RAYS}),
+up AS (SELECT altitude, CAST(round(azimuth / 10) AS INT) % 36 AS k FROM sun WHERE altitude > 0),
+horizon AS (SELECT c.col, c.row, k, max(degrees(atan((o.value - c.value) / dist))) AS angle FROM d c CROSS JOIN rays JOIN d o ON o.col = c.col + dc AND o.row = c.row + dr GROUP BY 1, 2, 3)
+SELECT c.col, c.row, round(CAST(count(*) FILTER (WHERE altitude > greatest(coalesce(angle, 0), 0)) AS DOUBLE) / count(*), 6) AS value
+FROM d c CROSS JOIN up LEFT JOIN horizon h ON h.col = c.col AND h.row = c.row AND h.k = up.k GROUP BY 1, 2""")
 def time_in_daylight_share(spark, d):
     return rounded(time_in_daylight(_dsm(V.points(spark, d)), G10, sun_table(spark, 54.0, -122.0, step=60)), "value")
