@@ -243,16 +243,20 @@ def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least:
     now = buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     by = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = by.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"), F.max("n").alias("n_largest"), F.max_by("root", F.struct("n", "root")).alias("largest")).filter("k > 1")
+    # aggregates are tables of their own before they are joined, so that Spark can split a hot bucket's rows
+    mixed = materialise(mixed, "mixed-sizes")
     rows = materialise(now.join(mixed, "bucket").withColumn("outside", F.col("root") != F.col("largest")), "mixed-buckets")
     # an outside text needs 80 % of its elements in other texts to be like any of them
     nodes = rows.groupBy("node").agg(F.max("outside").alias("outside"))
     listed = nodes.join(sets.hint("merge"), "node").mapInArrow(_listed, "node long, outside boolean, size long, element long")
     listed = materialise(listed, "mixed-elements")
-    made += [rows, listed]
+    made += [mixed, rows, listed]
     repeated = listed.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("element")
     able = listed.filter("outside").join(repeated.hint("merge"), "element").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).filter(F.col("n") >= least * F.col("size") - 1e-9).select("node", F.lit(True).alias("able"))
     rows = rows.join(able, "node", "left").filter("able or not outside").withColumn("outside", F.col("outside") & F.col("able").isNotNull())
     left = rows.groupBy("bucket").agg(F.count_if("outside").alias("n_out"), F.count_if(~F.col("outside")).alias("n_in")).filter("n_out > 0 and n_out + n_in > 1")
+    left = materialise(left, "mixed-left")
+    made.append(left)
     rows = rows.select("bucket", "node", "root", "outside").join(left, "bucket")
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(BLOCK))).cast("int")
     bo, bi = blocks("n_out"), blocks("n_in")
