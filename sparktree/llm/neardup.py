@@ -254,6 +254,8 @@ def _links_between(buckets: DataFrame, roots: DataFrame, sets: DataFrame, least:
     repeated = listed.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("element")
     able = listed.filter("outside").join(repeated.hint("merge"), "element").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).filter(F.col("n") >= least * F.col("size") - 1e-9).select("node", F.lit(True).alias("able"))
     rows = rows.join(able, "node", "left").filter("able or not outside").withColumn("outside", F.col("outside") & F.col("able").isNotNull())
+    rows = materialise(rows, "able-buckets")
+    made.append(rows)
     left = rows.groupBy("bucket").agg(F.count_if("outside").alias("n_out"), F.count_if(~F.col("outside")).alias("n_in")).filter("n_out > 0 and n_out + n_in > 1")
     left = materialise(left, "mixed-left")
     made.append(left)
