@@ -312,7 +312,7 @@ def dtm_min_cell(spark, d):
 SELECT col, row, CASE WHEN a.value - b.value - 5 >= 0 THEN a.value - b.value - 5 END AS value FROM a JOIN b USING (col, row)""")
 def chm_difference(spark, d):
     p = V.points(spark, d)
-    return R.difference(_dsm(p).withColumn("value", F.col("value")), _dtm(p)).select("col", "row", (F.col("value") - 5).alias("v")).select("col", "row", F.when(F.col("v") >= 0, F.col("v")).alias("value"))
+    return R.difference(R.difference(_dsm(p), _dtm(p)), _dtm(p).withColumn("value", S.lit(5)), drop_negative=True)
 
 
 @query(f"{WITH_POINTS}, c AS ({CHM10}) SELECT max(value) AS max_value FROM c")
@@ -393,12 +393,9 @@ def density_per_hectare(spark, d):
     return rounded(R.tree_density(V.points(spark, d).filter("h > 33"), G5, 50.0, "per_hectare"), "value")
 
 
-@query("SELECT dc, dr FROM (VALUES " + ", ".join(f"({a}, {b})" for a, b in circle_offsets(20.0, 5.0)) + ") v(dc, dr)")
+@query("SELECT CAST(a AS INT) AS dc, CAST(b AS INT) AS dr FROM range(-4, 5) x(a), range(-4, 5) y(b) WHERE a * a + b * b <= 16")
 def focal_kernel(spark, d):
-    r = 4
-    axis = spark.range(-r, r + 1)
-    grid = axis.select(F.col("id").cast("int").alias("dc")).crossJoin(axis.select(F.col("id").cast("int").alias("dr")))
-    return grid.filter(F.col("dc") * F.col("dc") + F.col("dr") * F.col("dr") <= r * r)
+    return spark.createDataFrame(circle_offsets(20.0, 5.0), "dc int, dr int")
 
 
 @query(f"""{WITH_POINTS}, a AS ({DSM10}) SELECT CAST(min((col * 1000 + 500) / 100.0) AS DOUBLE) AS xmin, CAST(max((col * 1000 + 500) / 100.0) AS DOUBLE) AS xmax, CAST(min((row * 1000 + 500) / 100.0) AS DOUBLE) AS ymin, CAST(max((row * 1000 + 500) / 100.0) AS DOUBLE) AS ymax FROM a""")
@@ -755,3 +752,6 @@ SELECT c.col, c.row, round(CAST(count(*) FILTER (WHERE altitude > greatest(coale
 FROM d c CROSS JOIN up LEFT JOIN horizon h ON h.col = c.col AND h.row = c.row AND h.k = up.k GROUP BY 1, 2""")
 def time_in_daylight_share(spark, d):
     return rounded(time_in_daylight(_dsm(V.points(spark, d)), G10, sun_table(spark, 54.0, -122.0, step=60)), "value")
+
+
+from . import file_queries  # noqa: E402,F401  adds its queries

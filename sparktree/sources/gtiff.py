@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 NONE, LZW, DEFLATE, OLD_DEFLATE = 1, 5, 8, 32946
 NODATA = -9999.0
 CELLS = "path string, col bigint, row bigint, value double"
+EXTENTS = "path string, n_cols bigint, n_rows bigint, xmin double, ymax double, res double, crs int, n_values bigint"
 SIZES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "Q", 11: "f", 12: "d", 16: "Q"}
 
 
@@ -182,6 +183,20 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path", "content").mapInPandas(run, CELLS)
 
 
+def read_extents(spark: SparkSession, path: str) -> DataFrame:
+    """One row a file: its size in cells, north-western corner, cell size, reference system and the number of values."""
+
+    def run(frames):
+        for held in frames:
+            rows = []
+            for file, data in zip(held["path"], held["content"]):
+                values, x0, y1, res, crs = decode(bytes(data))
+                rows.append((file, values.shape[1], values.shape[0], x0, y1, res, crs, int((~np.isnan(values)).sum())))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in EXTENTS.split(", ")])
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path", "content").mapInPandas(run, EXTENTS)
+
+
 def encoded_tiles(cells: DataFrame, res: float, crs: int = 3005, compression: int = LZW) -> DataFrame:
     """name, content: a file for each product and chunk of cells(product, chunk_x, chunk_y, col, row, value), named by its corner."""
 
@@ -199,4 +214,4 @@ def named(product: str, xmin: float, ymin: float) -> str:
     return f"{product}_{round(xmin)}_{round(ymin)}.tif"
 
 
-__all__ = ["decode", "encode", "encoded_tiles", "lzw_decode", "lzw_encode", "named", "read_cells"]
+__all__ = ["decode", "encode", "encoded_tiles", "lzw_decode", "lzw_encode", "named", "read_cells", "read_extents"]

@@ -1,7 +1,8 @@
 """Point clouds in LAS 1.0 to 1.4, point formats 0 to 10: headers as a catalogue, points as rows, and a writer.
 
-Files are read through Spark's binaryFile source, from any store that Spark reads. Compressed files (LAZ) need a codec that
-isn't there: their header is read, so that the catalogue tells which they are; their points are left out or raise an error.
+Files are listed by Spark; tasks read headers and ranges of records, so a file is read by as many tasks as it has parts, and
+none is held whole. Compressed files (LAZ) need a codec that isn't there: their header is read, so that the catalogue tells
+which they are; their points are left out or raise an error.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import read_range
+
+#: Bytes of the longest header.
+HEAD = 375
 #: Bytes of a record of each point format.
 RECORD = (20, 28, 26, 34, 57, 63, 30, 36, 38, 59, 67)
 CATALOG = "path string, point_format int, compressed boolean, n_points bigint, xmin double, ymin double, zmin double, xmax double, ymax double, zmax double"
@@ -37,13 +42,26 @@ def header(data: bytes) -> dict:
     return dict(minor=minor, offset=offset, format=fmt & 0x3F, compressed=bool(fmt & 0xC0), record=record, n=n, scale=(sx, sy, sz), shift=(ox, oy, oz), box=(xmin, ymin, zmin, xmax, ymax, zmax))
 
 
-def points(data: bytes) -> pd.DataFrame:
-    h = header(data)
+def readable(h: dict) -> dict:
+    """The header, if the records behind it can be read."""
     if h["compressed"]:
         raise LasError("the file is compressed (LAZ); convert it to LAS or Parquet first")
     if h["format"] >= len(RECORD) or h["record"] < RECORD[h["format"]]:
         raise LasError(f"unknown point format {h['format']}")
-    raw = np.frombuffer(data, np.uint8, h["n"] * h["record"], h["offset"]).reshape(h["n"], h["record"])
+    return h
+
+
+def points(data: bytes) -> pd.DataFrame:
+    """All points of a file."""
+    h = readable(header(data))
+    return records(data[h["offset"] : h["offset"] + h["n"] * h["record"]], h, 0, h["n"])
+
+
+def records(data: bytes, h: dict, first: int, n: int) -> pd.DataFrame:
+    """Points `first` to `first + n` of a file with the header h, from the bytes of these records alone."""
+    if len(data) < n * h["record"]:
+        raise LasError(f"the file ends before point {first + n}")
+    raw = np.frombuffer(data, np.uint8, n * h["record"]).reshape(n, h["record"])
     part = lambda at, kind: np.ascontiguousarray(raw[:, at : at + np.dtype(kind).itemsize]).view(kind)[:, 0]
     new = h["format"] >= 6
     scaled = [part(4 * k, "<i4").astype(np.int64) for k in range(3)]
@@ -52,10 +70,10 @@ def points(data: bytes) -> pd.DataFrame:
     flags = raw[:, 14]
     return pd.DataFrame(
         {
-            "point_id": np.arange(h["n"]), "xi": np.round(x * 100).astype(np.int64), "yi": np.round(y * 100).astype(np.int64), "x": x, "y": y, "z": z,
+            "point_id": np.arange(first, first + n), "xi": np.round(x * 100).astype(np.int64), "yi": np.round(y * 100).astype(np.int64), "x": x, "y": y, "z": z,
             "cls": raw[:, 16].astype(np.int32) if new else (raw[:, 15] & 0x1F).astype(np.int32),
             "return_number": (flags & (0x0F if new else 0x07)).astype(np.int32), "number_of_returns": (flags >> 4 if new else flags >> 3 & 0x07).astype(np.int32),
-            "intensity": part(12, "<u2").astype(np.int32), "gps_time": part(time_at, "<f8") if time_at else np.full(h["n"], np.nan),
+            "intensity": part(12, "<u2").astype(np.int32), "gps_time": part(time_at, "<f8") if time_at else np.full(n, np.nan),
         }
     )
 
@@ -111,35 +129,57 @@ def list_clouds(spark: SparkSession, *folders: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One row a file, from its header."""
+    """One row a file, from its header; no more than that is read of a file."""
 
     def run(frames):
         for held in frames:
             rows = []
-            for file, data in zip(held["path"], held["content"]):
-                h = header(bytes(data))
+            for file in held["path"]:
+                h = header(read_range(file, 0, HEAD))
                 rows.append((file, h["format"], h["compressed"], h["n"], *h["box"]))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CATALOG.split(", ")])
 
-    return _files(spark, path, "*.la[sz]").select("path", F.substring("content", 1, 375).alias("content")).mapInPandas(run, CATALOG)
+    return _files(spark, path, "*.la[sz]").select("path").mapInPandas(run, CATALOG)
 
 
-def read_points(spark: SparkSession, path: str, compressed: str = "error") -> DataFrame:
+def read_points(spark: SparkSession, path: str, compressed: str = "error", a_task: int = 1_000_000) -> DataFrame:
     """All points under a path. A point's id is its file's number, by name, times 2**40 and its place in the file.
 
-    compressed: "error", or "skip" to leave compressed files out; read_catalog says which those are. The files' names are
-    listed on the driver, as Spark's own listing does.
+    compressed: "error", or "skip" to leave compressed files out; read_catalog says which those are. a_task: the most points
+    of one range. Headers are read once to count the ranges, which are then dealt to as many tasks, 100,000 at most. The
+    files' names are listed on the driver, as Spark's own listing does.
     """
-    number = {r[0]: k for k, r in enumerate(sorted(_files(spark, path, "*.la[sz]").select("path").collect()))}
+    files = _files(spark, path, "*.la[sz]").select("path")
+    number = {r[0]: k for k, r in enumerate(sorted(files.collect()))}
 
-    def run(frames):
+    def ranges(frames):
         for held in frames:
-            for file, data in zip(held["path"], held["content"]):
-                data = bytes(data)
-                if compressed == "skip" and header(data)["compressed"]:
+            rows = []
+            for file in held["path"]:
+                head = read_range(file, 0, HEAD)
+                h = header(head)
+                if h["compressed"] and compressed == "skip":
                     continue
-                found = points(data).assign(file=file)
+                readable(h)
+                rows += [(file, head, k, min(a_task, h["n"] - k)) for k in range(0, h["n"], a_task)]
+            yield pd.DataFrame(rows, columns=["file", "head", "first", "n"])
+
+    def run(frames):
+        for held in frames:
+            for file, head, first, n in zip(held["file"], held["head"], held["first"], held["n"]):
+                h = header(bytes(head))
+                found = records(read_range(file, h["offset"] + first * h["record"], n * h["record"]), h, first, n).assign(file=file)
                 found["point_id"] += number[file] << 40
                 yield found
 
-    return _files(spark, path, "*.la[sz]").select("path", "content").mapInPandas(run, POINTS)
+    parts = files.mapInPandas(ranges, "file string, head binary, first bigint, n bigint")
+    return parts.repartition(max(1, min(parts.count(), 100_000))).mapInPandas(run, POINTS)
+
+
+def encoded_clouds(cloud: DataFrame, *by: str, scale: float = 0.001) -> DataFrame:
+    """name, content: a file for each group of points, such as a chunk's, named by the group; one group is held by one task."""
+
+    def run(key, held):
+        return pd.DataFrame({"name": ["cloud_" + "_".join(map(str, key)) + ".las"], "content": [encode(held, scale)]})
+
+    return cloud.groupBy(*by).applyInPandas(run, "name string, content binary")

@@ -30,12 +30,9 @@ def point_of(blob: bytes) -> tuple[float, float]:
     return struct.unpack_from(f"{order}dd", blob, at + 5)
 
 
-def write_gpkg(rows: pd.DataFrame, path: str, layer: str = "trees", srs: int = 3005) -> None:
-    """A layer of points with columns x and y, replacing the file. For one layer's export; results stay in Parquet."""
-    part = path + ".part"
-    if os.path.exists(part):
-        os.remove(part)
-    db = sqlite3.connect(part)
+def encode_layer(rows: pd.DataFrame, layer: str = "trees", srs: int = 3005) -> bytes:
+    """A GeoPackage of one layer of points with columns x and y."""
+    db = sqlite3.connect(":memory:")
     db.execute("PRAGMA application_id = 1196444487")
     db.execute("PRAGMA user_version = 10300")
     db.executescript(
@@ -53,10 +50,28 @@ def write_gpkg(rows: pd.DataFrame, path: str, layer: str = "trees", srs: int = 3
     values = rows[other].astype(object).where(rows[other].notna(), None)
     db.executemany(f'INSERT INTO "{layer}" VALUES (NULL, ?' + ", ?" * len(other) + ")", ((point_blob(x, y, srs), *v) for x, y, v in zip(rows["x"], rows["y"], values.itertuples(index=False))))
     db.commit()
+    out = db.serialize()
     db.close()
+    return out
+
+
+def write_gpkg(rows: pd.DataFrame, path: str, layer: str = "trees", srs: int = 3005) -> None:
+    """A layer of points with columns x and y, replacing the file. For one layer's export; encoded_layers makes many."""
+    part = path + ".part"
+    with open(part, "wb") as f:
+        f.write(encode_layer(rows, layer, srs))
     os.replace(part, path)
 
 
+def encoded_layers(rows: DataFrame, *by: str, layer: str = "trees", srs: int = 3005) -> DataFrame:
+    """name, content: a GeoPackage for each group of rows with columns x and y, named by the group; `by` isn't written."""
+
+    def run(key, held):
+        return pd.DataFrame({"name": [f"{layer}_" + "_".join(map(str, key)) + ".gpkg"], "content": [encode_layer(held.drop(columns=list(by)), layer, srs)]})
+
+    return rows.groupBy(*by).applyInPandas(run, "name string, content binary")
+
+
 def layer_points(data: bytes, layer: str | None = None) -> pd.DataFrame:
     """The points of a GeoPackage's layer, its first one if none is named."""
     db = sqlite3.connect(":memory:")

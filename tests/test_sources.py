@@ -6,7 +6,7 @@ import pytest
 
 from sparktree.config import DownloadConfig
 from sparktree.plans import pipeline
-from sparktree.sources import gtiff, index, las, vector
+from sparktree.sources import gtiff, index, las, store, vector
 from sparktree.sources.download import fetched, to_folder
 
 
@@ -62,6 +62,26 @@ def test_las(spark, tmp_path):
         las.header(b"nothing of the kind")
 
 
+def test_a_cloud_is_read_by_ranges(spark, tmp_path):
+    c = pd.DataFrame({"x": np.arange(100) / 8, "y": np.arange(100) / 4, "z": np.arange(100) / 2, "cls": np.arange(100) % 7})
+    clouds = spark.createDataFrame(c.assign(part=(np.arange(100) >= 30).astype(int)))
+    for _ in range(2):  # a rerun replaces the files
+        store.write_files(las.encoded_clouds(clouds, "part"), str(tmp_path / "some clouds"))
+    assert sorted(p.name for p in (tmp_path / "some clouds").iterdir()) == ["cloud_0.las", "cloud_1.las"]
+    whole, parts = (sorted(map(tuple, las.read_points(spark, str(tmp_path), a_task=n).drop("gps_time").collect())) for n in (10**6, 7))
+    assert whole == parts and len({r[0] for r in parts}) == 100 and las.read_points(spark, str(tmp_path), a_task=7).rdd.getNumPartitions() == 5 + 10
+    assert sorted((r[3], r[6]) for r in parts) == sorted(zip(c["x"], c["cls"]))
+    (tmp_path / "cut.las").write_bytes(las.encode(c)[:-1])
+    with pytest.raises(Exception, match="the file ends before point 100"):
+        las.read_points(spark, str(tmp_path)).count()
+
+
+def test_ranges_of_bytes(tmp_path):
+    (tmp_path / "f").write_bytes(bytes(range(10)))
+    for path in (f"{tmp_path}/f", f"file:{tmp_path}/f", f"file://{tmp_path}/f"):
+        assert [store.read_range(path, *r) for r in ((0, 3), (8, 5), (10, 1), (99, 1))] == [b"\0\1\2", b"\x08\x09", b"", b""]
+
+
 def test_geopackage(spark, tmp_path):
     a = pd.DataFrame({"tree_id": [1, 2], "x": [1.5, 2.5], "y": [3.5, 4.5], "z": [10.0, None], "name": ["a", None]})
     vector.write_gpkg(a, str(tmp_path / "a.gpkg"))
