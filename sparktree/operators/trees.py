@@ -130,12 +130,28 @@ def bin2d(rows: DataFrame, x: str, y: str, bins: int = 400, binwidth: tuple[floa
     if binwidth:
         placed = d.select(F.floor(F.col("x") / binwidth[0]).cast("bigint").alias("bx"), F.floor(F.col("y") / binwidth[1]).cast("bigint").alias("by"))
     else:
-        box = d.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)))
-        at = lambda c: F.when(F.col(f"max_{c}") == F.col(f"min_{c}"), F.lit(0)).otherwise(F.least(F.floor((F.col(c) - F.col(f"min_{c}")) / ((F.col(f"max_{c}") - F.col(f"min_{c}")) / bins)), F.lit(bins - 1))).cast("bigint")
-        placed = d.crossJoin(F.broadcast(box)).select(at("x").alias("bx"), at("y").alias("by"))
+        placed = d.crossJoin(F.broadcast(d.agg(*_ranges()))).select(*_bins(bins))
     return placed.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("count")).withColumn("log_count", F.log10("count"))
 
 
+def _ranges() -> list[Column]:
+    return [f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)]
+
+
+def _bins(bins: int) -> list[Column]:
+    at = lambda c: F.when(F.col(f"max_{c}") == F.col(f"min_{c}"), F.lit(0)).otherwise(F.least(F.floor((F.col(c) - F.col(f"min_{c}")) / ((F.col(f"max_{c}") - F.col(f"min_{c}")) / bins)), F.lit(bins - 1))).cast("bigint")
+    return [at("x").alias("bx"), at("y").alias("by")]
+
+
+def stacked_bins(rows: DataFrame, maps: tuple[tuple[str, str, str], ...], bins: int = 400) -> DataFrame:
+    """map, bx, by, count, log_count: the bins of many heat maps (name, x, y), as bin2d makes them, in one pass for all ranges and one for all counts."""
+    each = [F.struct(F.lit(name).alias("map"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) for name, x, y in maps]
+    d = rows.select(F.inline(F.array(*each))).filter(S.finite(F.col("x")) & S.finite(F.col("y")))
+    box = d.groupBy("map").agg(*_ranges())  # a row for each heat map
+    placed = d.join(F.broadcast(box), "map").select("map", *_bins(bins))
+    return placed.groupBy("map", "bx", "by").agg(F.count(F.lit(1)).alias("count")).withColumn("log_count", F.log10("count"))
+
+
 #: The nine heat maps of an inventory: name, x, y.
 HEATMAPS = (
     ("height_slope", "slope_deg", "z"),

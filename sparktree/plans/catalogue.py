@@ -499,6 +499,11 @@ for _name, _x, _y in T.HEATMAPS:
     query(_bin_sql(_x, _y, 400), f"bin2d_{_name}")(lambda spark, d, x=_x, y=_y: rounded(T.bin2d(_northed(spark, d), x, y, 400), "log_count"))
 
 
+@query(" UNION ALL ".join(f"SELECT '{name}' AS map, * FROM ({_bin_sql(x, y, 100)}) {name}" for name, x, y in T.HEATMAPS))
+def heatmaps_at_once(spark, d):
+    return rounded(T.stacked_bins(_northed(spark, d), T.HEATMAPS, 100), "log_count")
+
+
 @query(f"{WITH_TREES} SELECT CAST(floor(z / 2) AS BIGINT) AS bx, CAST(floor(npoints / 3) AS BIGINT) AS by, count(*) AS count, round(log10(count(*)), 6) AS log_count FROM trees GROUP BY 1, 2")
 def bin2d_binwidth(spark, d):
     return rounded(T.bin2d(V.trees(spark, d), "z", "npoints", binwidth=(2.0, 3.0)), "log_count")
