@@ -128,26 +128,28 @@ def list_clouds(spark: SparkSession, *folders: str) -> DataFrame:
     return found.withColumn("name", F.element_at(F.split("file", "/"), -1))
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One row a file, from its header; no more than that is read of a file."""
+def read_catalog(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """One row a file, from its header; no more than that is read of a file, unless whole (see read_points) is set."""
 
     def run(frames):
         for held in frames:
             rows = []
-            for file in held["path"]:
-                h = header(read_range(file, 0, HEAD))
+            for file, head in zip(held["path"], held["head"]):
+                h = header(bytes(head) if whole else read_range(file, 0, HEAD))
                 rows.append((file, h["format"], h["compressed"], h["n"], *h["box"]))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CATALOG.split(", ")])
 
-    return _files(spark, path, "*.la[sz]").select("path").mapInPandas(run, CATALOG)
+    head = F.substring("content", 1, HEAD) if whole else F.lit(None).cast("binary")
+    return _files(spark, path, "*.la[sz]").select("path", head.alias("head")).mapInPandas(run, CATALOG)
 
 
-def read_points(spark: SparkSession, path: str, compressed: str = "error", a_task: int = 1_000_000) -> DataFrame:
+def read_points(spark: SparkSession, path: str, compressed: str = "error", a_task: int = 1_000_000, whole: bool = False) -> DataFrame:
     """All points under a path. A point's id is its file's number, by name, times 2**40 and its place in the file.
 
     compressed: "error", or "skip" to leave compressed files out; read_catalog says which those are. a_task: the most points
     of one range. Headers are read once to count the ranges, which are then dealt to as many tasks, 100,000 at most. The
-    files' names are listed on the driver, as Spark's own listing does.
+    files' names are listed on the driver, as Spark's own listing does. whole: for stores that only Spark can open; each file
+    then goes to one task, of up to 2 GB.
     """
     files = _files(spark, path, "*.la[sz]").select("path")
     number = {r[0]: k for k, r in enumerate(sorted(files.collect()))}
@@ -172,6 +174,18 @@ def read_points(spark: SparkSession, path: str, compressed: str = "error", a_tas
                 found["point_id"] += number[file] << 40
                 yield found
 
+    def at_once(frames):
+        for held in frames:
+            for file, data in zip(held["path"], held["content"]):
+                data = bytes(data)
+                if header(data)["compressed"] and compressed == "skip":
+                    continue
+                found = points(data).assign(file=file)
+                found["point_id"] += number[file] << 40
+                yield found
+
+    if whole:
+        return _files(spark, path, "*.la[sz]").select("path", "content").mapInPandas(at_once, POINTS)
     parts = files.mapInPandas(ranges, "file string, head binary, first bigint, n bigint")
     return parts.repartition(max(1, min(parts.count(), 100_000))).mapInPandas(run, POINTS)
 

@@ -71,6 +71,8 @@ def test_a_cloud_is_read_by_ranges(spark, tmp_path):
     whole, parts = (sorted(map(tuple, las.read_points(spark, str(tmp_path), a_task=n).drop("gps_time").collect())) for n in (10**6, 7))
     assert whole == parts and len({r[0] for r in parts}) == 100 and las.read_points(spark, str(tmp_path), a_task=7).rdd.getNumPartitions() == 5 + 10
     assert sorted((r[3], r[6]) for r in parts) == sorted(zip(c["x"], c["cls"]))
+    assert whole == sorted(map(tuple, las.read_points(spark, str(tmp_path), whole=True).drop("gps_time").collect()))
+    assert sorted(map(tuple, las.read_catalog(spark, str(tmp_path)).collect())) == sorted(map(tuple, las.read_catalog(spark, str(tmp_path), whole=True).collect()))
     (tmp_path / "cut.las").write_bytes(las.encode(c)[:-1])
     with pytest.raises(Exception, match="the file ends before point 100"):
         las.read_points(spark, str(tmp_path)).count()
