@@ -163,7 +163,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     of, dropped = unused(docs, "of", "dropped")
     drop = materialise(lost.groupBy(F.col("doc_id").alias(of)).agg(F.collect_set("h").alias(dropped)), "dropped-lines")
     release(keys, repeated)
-    rows = docs.select(*passed).join(drop, docs["doc_id"].eqNullSafe(drop[of]), "left").drop(of)
+    # always a merge: a broadcast would end where the keys no longer fit, and the texts' shuffle would come as a surprise there
+    rows = docs.select(*passed).join(drop.hint("merge"), docs["doc_id"].eqNullSafe(drop[of]), "left").drop(of)
     schema = StructType([*(docs.schema[c] for c in passed), StructField("kept_text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return rows.mapInArrow(lambda it: _without(it, passed, dropped), schema)
 

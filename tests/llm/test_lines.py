@@ -97,3 +97,12 @@ def test_clashing_columns_stay(spark):
     got = dedup_lines(d)
     assert got.columns == [*d.columns, "kept_text", "n_lines", "n_dropped"]
     assert sorted((r["doc_id"], r["n_dropped"], r["drop_"], r["drop_id_"], r["of"], r["dropped"]) for r in got.collect()) == [(k, int(k < 5), 1, 2, 3, 4) for k in range(6)]
+
+
+def test_texts_meet_their_dropped_keys_by_a_merge_at_any_size(spark):
+    """A broadcast of the dropped keys at small sizes hid the shuffle of the texts that larger ones need."""
+    d = spark.createDataFrame([(k, "x" * 50) for k in range(6)], "doc_id long, text string")
+    got = dedup_lines(d)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
