@@ -186,3 +186,33 @@ def test_acquire(spark, tmp_path):
     assert pipeline.acquire(tiles, present, DownloadConfig(most_recent=False), "https://h", lambda u, n: 200, aoi=(0, 0, 1, 1), confirm=lambda n: False).count() == 0
     with pytest.raises(pipeline.PipelineError):
         pipeline.select_tiles(tiles, DownloadConfig())
+
+
+def test_a_page_of_the_stand_in_service_costs_what_it_holds(spark, sf, monkeypatch):
+    """The service read its whole table again for every page."""
+    from sparktree.plans import file_queries
+
+    read = []
+    stretch = file_queries._stretch
+    monkeypatch.setattr(file_queries, "_stretch", lambda *a: read.append(a) or stretch(*a))
+    fetch = file_queries._service(spark, sf)
+    there = spark.read.parquet(f"{sf}/orders.parquet").count()
+    said = [json.loads(fetch(index.request(fields="o_orderkey,o_custkey", offset=k, page=700))[1]) for k in range(0, there + 700, 700)]
+    keys = [f["attributes"]["o_orderkey"] for s in said for f in s["features"]]
+    assert len(keys) == len(set(keys)) == there and not said[-1]["features"]
+    assert [s["exceededTransferLimit"] for s in said] == [k + 700 < there for k in range(0, there + 700, 700)]
+    _, starts = file_queries._stretches(read[0][0])
+    assert all(starts[k] < there for _, k, _ in read) and len(read) < len(said) + len(starts)
+
+
+def test_many_pages_share_a_task_and_each_is_a_batch():
+    from sparktree.sources.index import A_TASK, TASKS, _Reader
+
+    fetch = lambda q: json.dumps({"features": [q["resultOffset"]]})
+    for n in (0, 1, 7, 64 * 5, 64 * 5 + 1, 100_000):
+        reader = _Reader(fetch, {"n_features": str(n), "page": "5"})
+        parts = reader.partitions()
+        assert [o for p in parts for o in p.offsets] == list(range(0, max(1, n), 5))
+        assert max(len(p.offsets) for p in parts) <= A_TASK and len(parts) <= max(TASKS, -(-n // 5 // A_TASK) + 1)
+        batches = list(reader.read(parts[-1]))
+        assert [b.num_rows for b in batches] == [1] * len(parts[-1].offsets)
