@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,3 +287,52 @@ def test_gaps_from_the_cells_beside_them():
     got = np.where(empty, np.nan, grid)
     got[empty] = chunks._gaps(got, empty, cx, cy, {})
     assert np.allclose(got[inner], grid[inner])
+
+
+@pytest.mark.parametrize("shape", ["square", "corner", "two"])
+def test_blocks_find_the_triangles_of_the_whole(shape, monkeypatch):
+    """A surface of many points was triangulated at once, some hundred bytes of Python objects for each triangle."""
+    r = np.random.default_rng(3)
+    x, y = r.random(3000) * 100, r.random(3000) * 100
+    if shape == "corner":
+        x, y = x[keep := (x < 30) | (y < 30)], y[keep]
+    if shape == "two":
+        x, y = np.r_[x / 10, x / 10 + 80], np.r_[y / 10, y / 20 + 50]
+    z, qx, qy = r.random(len(x)), r.random(4000) * 110 - 5, r.random(4000) * 110 - 5
+    whole = tin.Surface(x, y, z).at(qx, qy, extrapolate=False)
+    made, of = [], tin.Delaunay
+    monkeypatch.setattr(tin, "A_BLOCK", 300)
+    monkeypatch.setattr(tin, "Delaunay", lambda x, *how: made.append(len(x)) or of(x, *how))
+    surface = tin.Surface(x, y, z)
+    assert np.allclose(surface.at(qx, qy, extrapolate=False), whole, equal_nan=True, atol=1e-9)
+    assert np.allclose(surface.at(qx[:9], qy[:9], extrapolate=False), whole[:9], equal_nan=True, atol=1e-9)
+    assert surface.blocks.whole is None and max(made) < len(x) / 2 or shape != "square"
+
+
+@pytest.mark.parametrize("edge", ["core", "halo"])
+def test_a_chunk_taken_in_parts_has_the_same_products(spark, edge, monkeypatch):
+    """All rows of a chunk were held at once."""
+    cfg = PipelineConfig(resolution=1.0, subcircle=0.2, min_points=2, edge=edge, chunk_size=40.0, max_edge=(0.0, 1.5))
+    rows = chunks.chunk_products(cloud(spark), cfg)
+    taken = cloud(spark).selectExpr("point_id", "cast(xi as bigint) xi", "cast(yi as bigint) yi", "x", "y", "z", "cls", "true first").toPandas()
+    s, b, key = 4000, round(cfg.halo() * 100), (1, 1)
+    taken = taken[(taken.xi >= s - b) & (taken.xi <= 2 * s + b) & (taken.yi >= s - b) & (taken.yi <= 2 * s + b)].copy()
+    in_core = (taken.xi // s == 1) & (taken.yi // s == 1)
+    taken["turn"] = np.where(taken.cls == 2, chunks.ON_LEVEL, np.where(in_core, chunks.IN_CORE, chunks.IN_HALO)).astype("int32")
+    whole = rows.filter("chunk_x = 1 and chunk_y = 1").toPandas()
+    monkeypatch.setattr(chunks, "IN_ROWS", 100)
+    monkeypatch.setattr(chunks, "OUT_ROWS", 100)
+    table = pa.Table.from_pandas(taken.sort_values("turn")[list(chunks.TAKEN)], preserve_index=False)
+    parts = list(chunks.process_chunk(key, iter(table.to_batches(max_chunksize=70)), cfg))
+    assert max(p.num_rows for p in parts) <= 100 < len(whole)
+    order = ["product", "col", "row", "point_id", "tree_id"]
+    got = pa.Table.from_batches(parts).to_pandas().sort_values(order).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, whole.sort_values(order).reset_index(drop=True), check_dtype=False)
+    with pytest.raises(RuntimeError, match="out of order"):
+        list(chunks.process_chunk(key, iter(table.to_batches(max_chunksize=70)[::-1]), cfg))
+
+
+def test_an_inventory_reads_its_result_once(spark):
+    cfg = PipelineConfig(resolution=1.0, subcircle=0.2, min_points=2, chunk_size=40.0)
+    plan = pipeline.inventory(pipeline.catalog_pipeline(cloud(spark), cfg), cfg)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1
