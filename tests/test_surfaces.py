@@ -336,3 +336,13 @@ def test_an_inventory_reads_its_result_once(spark):
     cfg = PipelineConfig(resolution=1.0, subcircle=0.2, min_points=2, chunk_size=40.0)
     plan = pipeline.inventory(pipeline.catalog_pipeline(cloud(spark), cfg), cfg)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("FlatMapGroupsInArrow") == 1
+
+
+def test_only_the_products_asked_for_are_the_same(spark):
+    """Every query of one raster computed heights, crowns and trees too."""
+    cfg = PipelineConfig(resolution=1.0, subcircle=0.2, min_points=2, chunk_size=40.0)
+    cells = lambda q, p: sorted(map(tuple, pipeline.rasters(q, p).collect()))
+    whole = pipeline.catalog_pipeline(cloud(spark), cfg).persist()
+    for p in ("dtm", "slope", "dsm", "chm"):
+        some = pipeline.catalog_pipeline(cloud(spark), cfg, only=(p,)).persist()
+        assert cells(some, p) == cells(whole, p) != [] and some.filter("product in ('trees', 'points', 'status')").count() == 0
