@@ -421,3 +421,35 @@ def test_statuses_need_no_points_of_crowns(spark):
     for p, want in zip(clouds, whole):
         some = pipeline.catalog_pipeline(p, cfg, only=("status",))
         assert ends(some) == want != [] and some.filter("product in ('trees', 'points', 'crowns')").count() == 0
+
+
+def test_the_inventory_query_has_crowns_of_many_cells(spark, sf, monkeypatch):
+    """On a lattice too coarse for windows and crowns each cell of the canopy would be a tree."""
+    from sparktree.plans import catalogue
+
+    run, seen = pipeline.catalog_pipeline, []
+    monkeypatch.setattr(pipeline, "catalog_pipeline", lambda *a, **how: seen.append((a[1], run(*a, **how))) or seen[-1][1])
+    catalogue.queries()["catalog_pipeline"](spark, sf)
+    (cfg, result), *more = seen
+    assert not more and canopy.window_size(np.array(cfg.hmin)) / 2 > 2 * cfg.resolution and cfg.resolution == PipelineConfig().resolution
+    cells = [r["count"] for r in result.filter("product = 'crowns'").groupBy("tree_id").count().collect()]
+    assert cells and np.median(cells) > 20
+
+
+def test_tops_of_parts_far_apart():
+    rng = np.random.default_rng(5)
+    x, y, h, ids = rng.random(400) * 3, rng.random(400) * 3, rng.integers(0, 4, 400) * 1.0, rng.permutation(400)
+    x[:9] += 1e6  # a box of cells far larger than their number
+    want: dict = {}
+    for k, a in enumerate(np.arange(8) * (math.pi / 4)):
+        px, py = x + 0.2 * np.cos(a), y + 0.2 * np.sin(a)
+        for i in range(400):
+            cell, one = (math.floor(px[i] / 0.5), math.floor(py[i] / 0.5)), (-h[i], ids[i], k)
+            want[cell] = min(want.get(cell, one), one)
+    for near in (True, False):
+        tops = canopy.Tops(0.5, 0.2)
+        of = np.arange(9 if near else 0, 400)
+        for part in np.array_split(of, 3):
+            tops.add(x[part], y[part], h[part], ids[part])
+        got = {(c, r): (-v, i, k) for c, r, v, i, k, *_ in tops.held.tolist()}
+        assert list(got) == sorted(got) and all(got[c] == want[c] for c in got) and (near or got == want)
