@@ -216,3 +216,18 @@ def test_many_pages_share_a_task_and_each_is_a_batch():
         assert max(len(p.offsets) for p in parts) <= A_TASK and len(parts) <= max(TASKS, -(-n // 5 // A_TASK) + 1)
         batches = list(reader.read(parts[-1]))
         assert [b.num_rows for b in batches] == [1] * len(parts[-1].offsets)
+
+
+def test_pages_in_turn_have_no_end_but_the_service_s():
+    def body(first, n, there):
+        return json.dumps({"features": [{"attributes": {"k": k}} for k in range(first, min(first + n, there))], "exceededTransferLimit": first + n < there})
+
+    many = index.pages(lambda q: body(int(q["resultOffset"]), int(q["resultRecordCount"]), 100_003), page=1)
+    assert sum(1 for _ in many) == 100_003
+    for fewest in (1, 7, 10):  # a service that gives at most so many features, whatever is asked for
+        got = index.pages(lambda q: body(int(q["resultOffset"]), min(fewest, int(q["resultRecordCount"])), 25), page=10)
+        assert [f["attributes"]["k"] for b in got for f in json.loads(b)["features"]] == list(range(25))
+
+
+def test_offsets_beyond_two_billion():
+    assert index._row(3_000_000_000, "{}").column(0).to_pylist() == [3_000_000_000]
